@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from .byte_bpe import encode_decode
 from .exact_dedup import content_sort
+from .token_counts import token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,7 +27,17 @@ r AS (SELECT *, row_number() OVER (PARTITION BY norm ORDER BY n DESC, doc_id) AS
 SELECT doc_id, keep_id, group_size, rn = 1 AS kept, sha256(norm) AS text_sha256 FROM r
 """
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 QUERIES = {
+    "op5_token_counts": op5_token_counts,
+    "op10_byte_bpe": op10_byte_bpe,
     "op6_exact_dedup": op6_exact_dedup,
 }
 
