@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .byte_bpe import encode_decode
 from .exact_dedup import content_sort
+from .license_scan import license_scan
 from .token_counts import token_counts
+from .toxicity import score, train
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +29,15 @@ r AS (SELECT *, row_number() OVER (PARTITION BY norm ORDER BY n DESC, doc_id) AS
 SELECT doc_id, keep_id, group_size, rn = 1 AS kept, sha256(norm) AS text_sha256 FROM r
 """
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -36,6 +47,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
+    "op4_license_scan": op4_license_scan,
     "op5_token_counts": op5_token_counts,
     "op10_byte_bpe": op10_byte_bpe,
     "op6_exact_dedup": op6_exact_dedup,
