@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .byte_bpe import encode_decode
 from .exact_dedup import content_sort
 from .license_scan import license_scan
+from .packing import best_fit_packing
 from .token_counts import token_counts
 from .toxicity import score, train
 
@@ -42,6 +43,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -50,6 +55,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op4_license_scan": op4_license_scan,
     "op5_token_counts": op5_token_counts,
+    "op9_best_fit_packing": op9_best_fit_packing,
     "op10_byte_bpe": op10_byte_bpe,
     "op6_exact_dedup": op6_exact_dedup,
 }
