@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (binds pa.compute)
 from pyspark.sql import DataFrame, SparkSession
@@ -100,3 +101,29 @@ def slices(batches, text: str, most_bytes: int = 8 << 20):
                 start, held = i + 1, 0
         if start < n:
             yield batch.slice(start, n - start)
+
+
+def block_partners(own, residents, guests=None):
+    """array<struct<i,j>> of the block pairs that a row of block own takes part in. Residents' blocks
+    are 0 to residents - 1 and meet each other (i <= j) and the guests' blocks, which follow."""
+    last = residents - 1 if guests is None else F.when(own < residents, residents + guests - 1).otherwise(residents - 1)
+    return F.transform(
+        F.sequence(F.lit(0), last.cast("int")),
+        lambda other: F.struct(F.least(own, other).alias("i"), F.greatest(own, other).alias("j")),
+    )
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs (a, b) of small node numbers as stars: each node that isn't the least of its
+    component, and that least node."""
+    n = int(max(a.max(), b.max())) + 1
+    low = np.arange(n)
+    while True:
+        new = low.copy()
+        np.minimum.at(new, a, low[b])
+        np.minimum.at(new, b, low[a])
+        new = new[new]
+        if (new == low).all():
+            at = np.nonzero(low != np.arange(n))[0]
+            return at, low[at]
+        low = new

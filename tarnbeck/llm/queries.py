@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .byte_bpe import encode_decode
+from .embedding_dedup import near_vectors
 from .exact_dedup import content_sort
 from .license_scan import license_scan
 from .packing import best_fit_packing
@@ -35,6 +36,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, train(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
@@ -53,6 +58,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_toxicity": op2_toxicity,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_license_scan": op4_license_scan,
     "op5_token_counts": op5_token_counts,
     "op9_best_fit_packing": op9_best_fit_packing,
@@ -60,6 +66,21 @@ QUERIES = {
     "op6_exact_dedup": op6_exact_dedup,
 }
 
+OP3_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+      AND list_cosine_similarity(a.e, b.e) >= 0.98),
+r AS (SELECT vec_id AS a, vec_id AS c FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.c = l.a),
+c AS (SELECT a, min(c) AS component_id FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id
+"""
+
 ORACLE_SQL = {
+    "op3_embedding_dedup": OP3_SQL,
     "op6_exact_dedup": OP6_SQL,
 }
