@@ -127,3 +127,32 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             at = np.nonzero(low != np.arange(n))[0]
             return at, low[at]
         low = new
+
+
+def runs(batches, keys: list[str]):
+    """Regroup Arrow batches sorted by the integer columns keys: yields (table, bounds), each table
+    of whole runs of equal keys, run k being rows bounds[k] to bounds[k + 1] - 1."""
+    held: list[pa.RecordBatch] = []
+
+    def bounds(table):
+        new = np.zeros(table.num_rows, bool)
+        new[0] = True
+        for k in keys:
+            col = table.column(k).to_numpy()
+            new[1:] |= col[1:] != col[:-1]
+        return np.nonzero(new)[0]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        if all(held[0].column(k)[0] == batch.column(k)[-1] for k in keys):
+            continue  # one run so far
+        table = pa.Table.from_batches(held).combine_chunks()
+        at = bounds(table)
+        yield table.slice(0, at[-1]), at
+        held = table.slice(at[-1]).to_batches()
+    if held:
+        table = pa.Table.from_batches(held).combine_chunks()
+        at = bounds(table)
+        yield table, np.append(at, table.num_rows)

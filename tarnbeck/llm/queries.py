@@ -9,6 +9,7 @@ from .byte_bpe import encode_decode
 from .embedding_dedup import near_vectors
 from .exact_dedup import content_sort
 from .license_scan import license_scan
+from .ngram_join import jaccard_join
 from .packing import best_fit_packing
 from .token_counts import token_counts
 from .toxicity import score, train
@@ -31,6 +32,10 @@ r AS (SELECT *, row_number() OVER (PARTITION BY norm ORDER BY n DESC, doc_id) AS
 SELECT doc_id, keep_id, group_size, rn = 1 AS kept, sha256(norm) AS text_sha256 FROM r
 """
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score(docs, train(docs, table(spark, sf_dir, "labels")))
@@ -57,6 +62,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_toxicity": op2_toxicity,
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_license_scan": op4_license_scan,
