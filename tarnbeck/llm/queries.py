@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from .byte_bpe import encode_decode
 from .embedding_dedup import near_vectors
 from .exact_dedup import content_sort
+from .html_text import extract_text
 from .license_scan import license_scan
 from .ngram_join import jaccard_join
 from .packing import best_fit_packing
 from .token_counts import token_counts
 from .toxicity import score, train
+from .warc import round_trip
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +55,14 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -67,6 +77,8 @@ QUERIES = {
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_license_scan": op4_license_scan,
     "op5_token_counts": op5_token_counts,
+    "op7_html_text": op7_html_text,
+    "op8_warc": op8_warc,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_byte_bpe": op10_byte_bpe,
     "op6_exact_dedup": op6_exact_dedup,
