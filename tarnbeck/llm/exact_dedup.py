@@ -54,12 +54,35 @@ def content_sort(
     is reported as null. Repeated rows are rows of their own: one of them is kept. An empty table
     gives an empty result. Other columns are ignored.
     """
+    runs = materialize(_runs(docs, id_col, text_col, sample_rows, hot_share), "runs")
+    return runs.join(F.broadcast(_stitched(runs)), "sha", "left").select(  # bounded by 1 / hot_share rows
+        "doc_id",
+        F.when(F.col("best").isNull(), F.col("head")).otherwise(F.col("best.id")).alias("keep_id"),
+        F.coalesce("size", "n").cast("long").alias("group_size"),
+        _stays().alias("kept"),
+        F.col("sha").alias("text_sha256"),
+        "n_chars",
+    )
+
+
+def keep_one(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, sample_rows: int = 20_000, hot_share: float = 0.002
+) -> DataFrame:
+    """The rows that content_sort keeps, with all columns of docs: whole rows travel with the one sort."""
+    runs = _runs(docs, id_col, text_col, sample_rows, hot_share, carry=True).where("rn = 1")
+    kept = runs.join(F.broadcast(_stitched(runs)), "sha", "left").where(_stays())  # bounded by 1 / hot_share rows
+    return kept.select(*(F.col("whole")[c].alias(c) for c in docs.columns))
+
+
+def _runs(docs: DataFrame, id_col: str, text_col: str, sample_rows: int, hot_share: float, carry: bool = False) -> DataFrame:
+    """Every row with its run (sha, salt), its place rn in it, the run's head and its size n."""
     text = F.col(text_col)
-    hot = materialize(hot_digests(docs.select(text), text, sample_rows, hot_share), "hot")
+    hot = materialize(hot_digests(docs.select(text_col), text, sample_rows, hot_share), "hot")
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.length(F.coalesce(text.cast("string"), F.lit(""))).alias("n_chars"),
         normalized(text).alias("norm"),
+        *([F.struct(*docs.columns).alias("whole")] if carry else []),
     ).withColumn("sha", F.sha2("norm", 256))
     rows = (
         rows.join(F.broadcast(hot), "sha", "left")  # bounded by 1 / hot_share rows
@@ -69,26 +92,19 @@ def content_sort(
     )
     order = [F.col("n_chars").desc(), F.col("doc_id").asc_nulls_last()]
     run = Window.partitionBy("prefix", "sha", "salt", "norm").orderBy(*order)
-    whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    runs = (
-        rows.repartitionByRange("prefix", "sha", "salt")
-        .withColumn("rn", F.row_number().over(run))
-        .withColumn("head", F.first("doc_id").over(run.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .withColumn("n", F.count("*").over(whole))
-        .select("doc_id", "n_chars", "sha", "salt", "rn", "head", "n")
-    )
-    runs = materialize(runs, "runs")
+    out = rows.repartitionByRange("prefix", "sha", "salt").withColumn("rn", F.row_number().over(run))
+    if not carry:
+        out = out.withColumn("head", F.first("doc_id").over(run.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        out = out.withColumn("n", F.count("*").over(run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    return out.drop("norm", "prefix")
+
+
+def _stitched(runs: DataFrame) -> DataFrame:
+    """(sha, best, size) of each salted text, from the heads of its runs."""
+    n = F.col("n") if "n" in runs.columns else F.lit(1)
     best = F.struct((-F.col("n_chars")).alias("k"), F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("id"), "salt")
-    stitched = (
-        runs.where("salt > 0 and rn = 1")
-        .groupBy("sha")
-        .agg(F.min(best).alias("best"), F.sum("n").alias("size"))
-    )
-    return runs.join(F.broadcast(stitched), "sha", "left").select(  # bounded by 1 / hot_share rows
-        "doc_id",
-        F.when(F.col("best").isNull(), F.col("head")).otherwise(F.col("best.id")).alias("keep_id"),
-        F.coalesce("size", "n").cast("long").alias("group_size"),
-        ((F.col("rn") == 1) & (F.col("best").isNull() | (F.col("best.salt") == F.col("salt")))).alias("kept"),
-        F.col("sha").alias("text_sha256"),
-        "n_chars",
-    )
+    return runs.where("salt > 0 and rn = 1").groupBy("sha").agg(F.min(best).alias("best"), F.sum(n).alias("size"))
+
+
+def _stays():
+    return (F.col("rn") == 1) & (F.col("best").isNull() | (F.col("best.salt") == F.col("salt")))

@@ -240,7 +240,8 @@ def jaccard_join(
     Jaccard similarity of at least threshold.
 
     Returns per row: doc_id, n_links (other rows linked), class_id (smallest doc_id reachable by
-    links), kept (doc_id = class_id; of repeated rows with one id, all).
+    links), kept (the row of that id, of several the one of the least MD5; of equal rows all) and md5
+    (of the text).
 
     Texts of equal shingle sets are first collapsed to one class with a count. A class's labels lie
     in the tries of a forest; the matched prefix is shortened until the wanted recall, and by one
@@ -278,13 +279,23 @@ def jaccard_join(
     found = materialize(verify(texts, threshold), "links")
     links = found.where("root is null").groupBy("node").agg(F.sum("links").alias("links"))
     reached = components(found.where("root is not null").select(F.col("node").alias("src"), F.col("root").alias("dst")))
-    parts = classes.select(*key, "node", "weight", "doc_id").join(links, "node", "left").join(reached, "node", "left")
+    parts = classes.select(*key, "node", "weight", "doc_id", "md5").join(links, "node", "left").join(reached, "node", "left")
     parts = materialize(parts.withColumn("component", F.coalesce("component", "node")), "parts")
-    least = parts.groupBy("component").agg(F.min("doc_id").alias("class_id"))
-    ends = parts.join(least, "component").select(*key, (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "class_id")
-    out = known.select("doc_id", *key).join(ends, key, "left").select(
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "md5")).alias("first")
+    least = parts.groupBy("component").agg(first)
+    ends = parts.join(least, "component").select(*key, (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "first")
+    alone = F.col("n") == 0
+    return known.select("doc_id", "md5", *key).join(ends, key, "left").select(
         "doc_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"),
+        (alone | (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & F.col("md5").eqNullSafe(F.col("first.md5")))).alias("kept"),
+        "md5",
     )
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False)))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, **options) -> DataFrame:
+    """The rows, with all columns of docs, that jaccard_join keeps: one of each class."""
+    dropped = jaccard_join(docs, id_col, text_col, threshold, **options).where("not kept").select(F.col("doc_id").alias("_id"), F.col("md5").alias("_md5"))
+    own = (docs[id_col].cast("long").eqNullSafe(dropped["_id"])) & F.md5(docs[text_col].cast("string")).eqNullSafe(dropped["_md5"])
+    return docs.join(dropped, own, "left_anti")
