@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..schemas import PROBE
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with value computed once, however often use names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def average_hash(pixels: Column) -> Column:
     """Bits of a perceptual hash: bit i is set if pixel i is above the mean. Null without pixels."""
     mean = F.aggregate(pixels, F.lit(0.0), lambda a, x: a + x) / F.size(pixels)
@@ -60,16 +67,19 @@ def scenes(cuts: Column, duration: Column, shortest: float, window: float) -> Co
     shorter than shortest grows to the next boundary, the last may be short. Fewer than two scenes
     give way to fixed windows without overlap."""
     zero = F.lit(0).cast("double")
-    bounds = F.array_sort(F.array_distinct(F.concat(F.array(zero), F.transform(cuts, lambda c: c.cast("double")), F.array(duration.cast("double")))))
-    last = F.element_at(bounds, -1)
-    start = F.struct(F.element_at(bounds, 1).alias("at"), F.array().cast("array<struct<start_sec:double,end_sec:double>>").alias("out"))
+    all_bounds = F.array_sort(F.array_distinct(F.concat(F.array(zero), F.transform(cuts, lambda c: c.cast("double")), F.array(duration.cast("double")))))
+
+    def merged(bounds):
+        last = F.element_at(bounds, -1)
+        start = F.struct(F.element_at(bounds, 1).alias("at"), F.array().cast("array<struct<start_sec:double,end_sec:double>>").alias("out"))
+
+        def step(acc, end):
+            grown = F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(acc["at"].alias("start_sec"), end.alias("end_sec")))).alias("out"))
+            return F.when((end - acc["at"] >= shortest) | (end == last), grown).otherwise(acc)
 
-    def step(acc, end):
-        grown = F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(acc["at"].alias("start_sec"), end.alias("end_sec")))).alias("out"))
-        return F.when((end - acc["at"] >= shortest) | (end == last), grown).otherwise(acc)
+        return F.aggregate(F.slice(bounds, 2, F.greatest(F.size(bounds) - 1, F.lit(0))), start, step, lambda acc: acc["out"])
 
-    merged = F.aggregate(F.slice(bounds, 2, F.greatest(F.size(bounds) - 1, F.lit(0))), start, step, lambda acc: acc["out"])
-    chosen = F.when(F.size(merged) < 2, fixed_scenes(duration, window)).otherwise(merged)
+    chosen = let(let(all_bounds, merged), lambda m: F.when(F.size(m) < 2, fixed_scenes(duration, window)).otherwise(m))
     return F.transform(chosen, lambda s, i: F.struct(i.cast("int").alias("scene_index"), s["start_sec"], s["end_sec"]))
 
 
@@ -103,7 +113,9 @@ def prune_scenes(scene_list: Column, distance: int) -> Column:
         last = F.when(framed, s["phash"]).otherwise(acc["last"])
         return F.when(near, acc).otherwise(F.struct(last.alias("last"), F.concat(acc["out"], F.array(s)).alias("out")))
 
-    return F.aggregate(scene_list, start, step, lambda acc: acc["out"])
+    folded = F.aggregate(scene_list, start, step, lambda acc: acc["out"])
+    # without any hash every scene stays
+    return F.when(F.exists(scene_list, lambda s: s["phash"].isNotNull()), folded).otherwise(scene_list)
 
 
 def _stream(probe: Column, kind: str) -> Column:

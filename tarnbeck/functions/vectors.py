@@ -25,9 +25,9 @@ def sign_bits(v: Column, bits: int = 64) -> Column:
 
 
 def seeded_vector(text: Column, dims: int = 8) -> Column:
-    """A vector that depends on the text alone, for runs without a model; empty for an empty text."""
-    one = F.transform(
-        F.sequence(F.lit(0), F.lit(dims - 1)),
-        lambda i: (F.conv(F.substring(F.md5(F.concat_ws(":", text, i.cast("string"))), 1, 8), 16, 10).cast("long") % 2001 / 1000.0 - 1.0).cast("float"),
-    )
+    """A vector that depends on the text alone, for runs without a model: four elements
+    to a digest. Empty for an empty text."""
+    part = lambda digest, k: (F.conv(F.substring(digest, 8 * k + 1, 8), 16, 10).cast("long") % 2001 / 1000.0 - 1.0).cast("float")
+    digests = F.array(*(F.md5(F.concat_ws(":", text, F.lit(str(i)))) for i in range(-(-dims // 4))))
+    one = F.slice(F.flatten(F.transform(digests, lambda d: F.array(*(part(d, k) for k in range(4))))), 1, dims)
     return F.when(F.length(F.coalesce(text, F.lit(""))) > 0, one).otherwise(F.array().cast("array<float>"))

@@ -84,12 +84,13 @@ def chunk_array(config: EngineConfig) -> Column:
 
 
 def chunks(docs: DataFrame, config: EngineConfig) -> DataFrame:
-    """One row per chunk of the documents that no stage has stopped; their columns stay beside it.
+    """One row per chunk of the documents that no stage has stopped, with the document's key and facts.
     Narrow: windows, tiles and scenes are generated and transcripts sliced inside the document's row."""
-    own = docs.where("status is null").select("*", F.posexplode(chunk_array(config)).alias("ordinal", "_c"))
+    live = docs.where("status is null")
+    # only what later stages read goes along, so that a document isn't copied for each of its chunks
+    own = live.select("doc_id", "source_key", "modality", "image", "audio", "video", F.posexplode_outer(chunk_array(config)).alias("ordinal", "_c"))
     return own.select(
-        *docs.columns,
-        "ordinal",
+        "doc_id", "source_key", "modality", "image", "audio", "video", "ordinal",
         chunk_id(F.col("doc_id"), F.col("ordinal")).alias("chunk_id"),
         F.col("_c.text").alias("text"),
         F.col("_c.media_path").alias("chunk_media_path"),
@@ -97,4 +98,4 @@ def chunks(docs: DataFrame, config: EngineConfig) -> DataFrame:
         F.col("_c.end_sec").alias("end_sec"),
         F.struct("_c.row", "_c.col", "_c.scene_index").alias("position"),
         F.struct("_c.is_tile", "_c.width", "_c.height").alias("chunk_meta"),
-    )
+    )

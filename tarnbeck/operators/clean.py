@@ -22,7 +22,10 @@ def clean(docs: DataFrame, config: EngineConfig, seen: DataFrame | None = None)
     docs = docs.withColumn(
         "scenes", F.when(live & (F.col("modality") == "video"), media.prune_scenes(F.col("scenes"), config.image_dedup_hash_distance)).otherwise(F.col("scenes"))
     )
-    docs = docs.withColumn("_hash", F.when(live & (F.col("modality") == "image"), F.col("image.phash")))
-    docs = mark_duplicates(docs, "source_key", "_hash", config.image_dedup_hash_distance, "_twin", seen)
-    docs = docs.withColumn("image", F.when(F.col("image").isNotNull(), F.col("image").withField("is_duplicate", F.col("_twin"))))
-    return fail(docs, "", F.when(F.col("_twin"), F.lit("duplicate_detected")), "skipped").drop("_hash", "_twin")
+    # only images are dealt by their hash; all others pass by without a shuffle
+    image = F.coalesce(F.col("modality") == "image", F.lit(False))
+    pictures = docs.where(image).withColumn("_hash", F.when(live, F.col("image.phash")))
+    pictures = mark_duplicates(pictures, "source_key", "_hash", config.image_dedup_hash_distance, "_twin", seen)
+    pictures = pictures.withColumn("image", F.when(F.col("image").isNotNull(), F.col("image").withField("is_duplicate", F.col("_twin"))))
+    pictures = fail(pictures, "", F.when(F.col("_twin"), F.lit("duplicate_detected")), "skipped").drop("_hash", "_twin")
+    return docs.where(~image).unionByName(pictures)

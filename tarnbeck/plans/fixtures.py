@@ -15,6 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """A small file is one task; what follows is heavy for each of its narrow rows."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def _docs(rows: DataFrame, config: EngineConfig) -> DataFrame:
     return as_docs(route(rows, config).withColumn("doc_id", doc_id(F.col("source_key"))))
 
@@ -62,7 +67,7 @@ def audio_rows(spark, sf_dir):
 
 
 def audio_docs(spark, sf_dir, config):
-    rows = audio_rows(spark, sf_dir)
+    rows = _spread(audio_rows(spark, sf_dir))
     key = F.concat(F.lit("raw/audio/"), F.col("event_id").cast("string"), F.lit(".wav"))
     said = F.concat(F.lit("talk "), "event_type")
     spoken = F.col("event_id") % 3 == 0
@@ -85,15 +90,15 @@ def video_rows(spark, sf_dir):
 
 
 def video_docs(spark, sf_dir, config):
-    rows = video_rows(spark, sf_dir)
+    rows = _spread(video_rows(spark, sf_dir))
     key = F.concat(F.lit("raw/video/"), F.col("o_orderkey").cast("string"), F.lit(".mp4"))
     spoken = F.col("o_orderkey") % 3 == 0
     segments = F.when(spoken, F.array(F.struct(F.lit(0.0).alias("start"), F.col("duration").alias("end"), F.lit("speech").alias("text"), F.lit(None).cast("string").alias("speaker"))))
-    found = scenes(F.array().cast("array<double>"), F.col("duration"), config.video_min_scene_len_sec, 30.0)
+    rows = rows.withColumn("found", scenes(F.array().cast("array<double>"), F.col("duration"), config.video_min_scene_len_sec, 30.0))
     framed = F.transform(
-        found, lambda s: F.struct(s["scene_index"], s["start_sec"], s["end_sec"], F.concat_ws("_", key, F.lit("kf"), s["scene_index"]).alias("keyframe_path"), F.lit(None).cast("long").alias("phash"))
+        "found", lambda s: F.struct(s["scene_index"], s["start_sec"], s["end_sec"], F.concat_ws("_", key, F.lit("kf"), s["scene_index"]).alias("keyframe_path"), F.lit(None).cast("long").alias("phash"))
     )
-    video = F.struct(F.col("duration").alias("duration_sec"), "width", "height", F.lit(25.0).alias("fps"), "codec", F.size(found).alias("scene_count"))
+    video = F.struct(F.col("duration").alias("duration_sec"), "width", "height", F.lit(25.0).alias("fps"), "codec", F.size("found").alias("scene_count"))
     return _docs(
         rows.select(key.alias("source_key"), F.when(spoken, F.lit("speech")).otherwise(F.lit("")).alias("content_text"), key.alias("media_path"), segments.alias("segments"), framed.alias("scenes"), video.alias("video")), config
     )

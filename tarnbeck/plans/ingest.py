@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..config import EngineConfig
 from ..operators import chunk, clean, embed, index, metadata, privacy, validate
 from ..sources import sinks
+from ..storage import materialize
 
 
 @dataclass(frozen=True)
@@ -31,7 +32,8 @@ def ingest(docs: DataFrame, config: EngineConfig, at: Column | None = None, seen
     """docs: the docs schema, routed (see sources.objects). Cheap native rules stand before model
     calls, so nothing that a rule rejects is ever embedded."""
     at = F.current_timestamp() if at is None else at
-    ready = prepare(docs, config, seen)
+    # read by chunks and by the manifest: written once rather than computed twice
+    ready = materialize(prepare(docs, config, seen), "ready")
     cut = chunk.chunks(ready, config)
     cut = cut.withColumn("metadata", metadata.metadata(config, at))
     done = embed.embed(cut, config, text_model, image_model)
