@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .media import let
+
 #: The 29 code points that count as white space.
 SPACE = r"[\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
@@ -19,9 +21,15 @@ PII = {
 }
 
 
+#: What a match begins with, looked at before anything dearer; it changes no match.
+_FIRST = {"phone": r"(?=[+(\d])", "ssn": r"(?=\d)", "credit_card": r"(?=\d)"}
+#: Three digits at least stand so in whatever the patterns of digits match.
+_DIGITS = r"(?U)\d[ -]*\d[ -]*\d"
+
+
 def pii_pattern(label: str) -> str:
     """With Unicode digits, letters and white space."""
-    return "(?U)" + PII[label].replace("{b}", _EDGE).replace("{s}", SPACE[1:-1])
+    return "(?U)" + _FIRST.get(label, "") + PII[label].replace("{b}", _EDGE).replace("{s}", SPACE[1:-1])
 
 
 def pii_mark(label: str) -> str:
@@ -29,19 +37,29 @@ def pii_mark(label: str) -> str:
 
 
 def collapse(text: Column) -> Column:
-    """Runs of white space become one space; none at either end."""
-    return F.trim(F.regexp_replace(text, SPACE + "+", " "))
+    """Runs of white space become one space; none at either end. Single spaces aren't touched."""
+    other = SPACE.replace(r"\x{1C}-\x{20}", r"\x{1C}-\x{1F}")
+    return F.trim(F.regexp_replace(text, f"{other}{SPACE}*| {SPACE}+", " "))
 
 
 def is_blank(text: Column) -> Column:
     """Null, empty or white space alone."""
-    return F.length(F.regexp_replace(F.coalesce(text, F.lit("")), SPACE + "+", "")) == 0
+    return ~F.coalesce(text, F.lit("")).rlike("[^" + SPACE[1:])
 
 
 def redact(text: Column) -> Column:
-    for label in PII:
-        text = F.regexp_replace(text, pii_pattern(label), F.lit(pii_mark(label).replace("$", r"\$")))
-    return text
+    """Replace personal data, pattern by pattern in order. Texts without @, or without digits, skip the
+    patterns that need them."""
+
+    def replaced(t: Column, *labels: str) -> Column:
+        for label in labels:
+            t = F.regexp_replace(t, pii_pattern(label), F.lit(pii_mark(label)))
+        return t
+
+    def digits(t: Column) -> Column:
+        return F.when(t.rlike(_DIGITS), replaced(t, *(k for k in PII if k != "email"))).otherwise(t)
+
+    return let(let(text, lambda t: F.when(F.contains(t, F.lit("@")), replaced(t, "email")).otherwise(t)), digits)
 
 
 def count_mark(text: Column, label: str) -> Column:
@@ -59,8 +77,13 @@ def text_windows(text: Column, window: int, overlap: int) -> Column:
 
 def spans(n: Column, window: float, overlap: float) -> Column:
     """array<struct<start,end>> over [0, n): windows window apart less overlap, cut at n, and the tail."""
-    step, zero = window - overlap, n - n  # zero has the type of n
-    last = F.greatest(F.ceil((n - overlap) / step).cast("int"), F.lit(1)) - 1
-    own = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct((zero + i * step).alias("start"), F.least(zero + i * step + window, n).alias("end")))
-    tail = F.array(F.struct((n - overlap).alias("start"), n.alias("end")))
-    return F.when(n <= overlap, F.array(F.struct(zero.alias("start"), n.alias("end")))).otherwise(F.concat(own, tail))
+    step = window - overlap
+
+    def cut(n: Column) -> Column:
+        zero = n - n  # of the type of n
+        last = F.greatest(F.ceil((n - overlap) / step).cast("int"), F.lit(1)) - 1
+        own = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct((zero + i * step).alias("start"), F.least(zero + i * step + window, n).alias("end")))
+        tail = F.array(F.struct((n - overlap).alias("start"), n.alias("end")))
+        return F.when(n <= overlap, F.array(F.struct(zero.alias("start"), n.alias("end")))).otherwise(F.concat(own, tail))
+
+    return let(n, cut)
