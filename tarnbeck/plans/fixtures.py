@@ -9,9 +9,11 @@ from ..config import EngineConfig
 from ..functions.media import scenes
 from ..operators.route import route
 from ..sources.objects import as_docs, doc_id
+from ..storage import install
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    install(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,3 +38,18 @@ def discard(df: DataFrame) -> None:
         spark = df.sparkSession
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def install(spark: SparkSession) -> None:
+    """Ship this package to the executors' Python, once a session, for clusters where it isn't
+    installed and for drivers that found it by sys.path alone."""
+    context = spark.sparkContext
+    if getattr(context, "_tarnbeck_shipped", False):
+        return
+    top = Path(__file__).parent
+    path = Path(tempfile.mkdtemp(prefix="tarnbeck-")) / "tarnbeck.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(top.rglob("*.py")):
+            z.write(p, Path(top.name) / p.relative_to(top))
+    context.addPyFile(str(path))
+    context._tarnbeck_shipped = True
