@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tarnbeck.llm import exact_dedup, ngram_join, packing, toxicity
 from tarnbeck.llm.common import materialize
+from tarnbeck.storage import install
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    install(spark)
     machine = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.keep_clean(docs, machine)
 

@@ -2,49 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (binds pa.compute)
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
-
-    Only where the setting is absent (local tests) is a temporary folder made and used.
-    """
-    top = spark.conf.get("spark.checkpoint.dir", None)
-    if not top:
-        top = getattr(spark, "_tarnbeck_dir", None)
-        if top is None:
-            top = "file://" + tempfile.mkdtemp(prefix="tarnbeck-")
-            spark._tarnbeck_dir = top
-    return top.rstrip("/")
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet to the shared folder and read it back: lineage ends there, and the
-    table survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tarnbeck/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._tarnbeck_path = path
-    return out
-
-
-def discard(df: DataFrame) -> None:
-    """Delete a table made by materialize() that no later plan reads."""
-    path = getattr(df, "_tarnbeck_path", None)
-    if path:
-        spark = df.sparkSession
-        jvm = spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+from ..storage import discard, materialize, shared_dir  # noqa: F401  (for the operators)
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

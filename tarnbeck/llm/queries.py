@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from ..storage import install
 from .byte_bpe import encode_decode
 from .embedding_dedup import near_vectors
 from .exact_dedup import content_sort
@@ -18,6 +19,7 @@ from .warc import round_trip
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    install(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
