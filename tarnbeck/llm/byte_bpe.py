@@ -20,7 +20,7 @@ from .common import slices
 #: before the last three can't match at the same place as each other, so their order is free.
 PRE_TOKEN = r" ?\p{L}+| ?\p{N}+|'(?:s|t|re|ve|m|ll|d)| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-MEMO = 400_000
+MEMO = 800_000
 _SHIFT = 20
 _MASK = (1 << 32) - 1
 
