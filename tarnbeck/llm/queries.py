@@ -12,6 +12,7 @@ from .exact_dedup import content_sort
 from .html_text import extract_text
 from .license_scan import license_scan
 from .ngram_join import jaccard_join
+from .oracle import SQL
 from .packing import best_fit_packing
 from .token_counts import token_counts
 from .toxicity import score, train
@@ -27,15 +28,6 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-OP6_SQL = r"""
-WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
-                  regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),
-r AS (SELECT *, row_number() OVER (PARTITION BY norm ORDER BY n DESC, doc_id) AS rn,
-             first_value(doc_id) OVER (PARTITION BY norm ORDER BY n DESC, doc_id) AS keep_id,
-             count(*) OVER (PARTITION BY norm) AS group_size FROM d)
-SELECT doc_id, keep_id, group_size, rn = 1 AS kept, sha256(norm) AS text_sha256 FROM r
-"""
-
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))
 
@@ -86,21 +78,4 @@ QUERIES = {
     "op6_exact_dedup": op6_exact_dedup,
 }
 
-OP3_SQL = """
-WITH RECURSIVE v AS (
-  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
-  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-        AND list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0),
-l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
-      AND list_cosine_similarity(a.e, b.e) >= 0.98),
-r AS (SELECT vec_id AS a, vec_id AS c FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.c = l.a),
-c AS (SELECT a, min(c) AS component_id FROM r GROUP BY a),
-n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
-SELECT vec_id, coalesce(n.n, 0) AS n_links, component_id, vec_id = component_id AS kept
-FROM embeddings JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id
-"""
-
-ORACLE_SQL = {
-    "op3_embedding_dedup": OP3_SQL,
-    "op6_exact_dedup": OP6_SQL,
-}
+ORACLE_SQL = SQL

@@ -5,9 +5,6 @@ import numpy as np
 import pytest
 
 from tarnbeck.llm import embedding_dedup as E
-from tarnbeck.llm import queries
-
-from ..helpers import rows_of, sql_rows
 
 
 def brute(rows, threshold=0.98):
@@ -64,7 +61,3 @@ def test_cells_lose_no_link(spark, options):
     want = brute(rows)
     assert sum(r[1] for r in want) > 400
     assert got(df, **options) == want
-
-
-def test_query_against_sql(spark, duck, sf_dir):
-    assert rows_of(queries.op3_embedding_dedup(spark, sf_dir)) == sql_rows(duck, queries.ORACLE_SQL["op3_embedding_dedup"])

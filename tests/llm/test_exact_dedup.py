@@ -4,8 +4,6 @@ from collections import defaultdict
 from tarnbeck.llm import exact_dedup as ED
 from tarnbeck.llm import queries
 
-from ..helpers import rows_of, sql_rows
-
 
 def brute(rows):
     groups = defaultdict(list)
@@ -47,10 +45,6 @@ def test_empty_table(no_docs):
     assert ED.content_sort(no_docs).count() == 0 and ED.keep_one(no_docs).count() == 0
 
 
-def test_query_against_sql(spark, duck, sf_dir):
-    assert rows_of(queries.op6_exact_dedup(spark, sf_dir)) == sql_rows(duck, queries.ORACLE_SQL["op6_exact_dedup"])
-
-
 def test_no_python_in_plan(spark, sf_dir):
     plan = queries.op6_exact_dedup(spark, sf_dir)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
