@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import materialize, slices
 
 #: Training takes at most so many labelled rows, terms and the factors of each term.
 TRAIN_ROWS, TERMS, FACTORS = 12_000, 1024, 6
@@ -106,7 +106,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     Terms are chosen by their class counts over those rows, summed in Spark; the driver gets the
     chosen terms and, for each training row, which of them it has. Null labels, ids and texts don't
-    train. Without labels of both classes the machine gives every text the base rate.
+    train; of repeated ids, the greatest label and least text do. Without labels of both classes the machine gives every text the base rate.
     """
     spark = docs.sparkSession
     y = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).where(
@@ -117,7 +117,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if n > train_rows:
         y = y.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_000)) < int(1_000_000 * train_rows / n))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
-    texts = texts.join(F.broadcast(y), "doc_id").select("doc_id", "y", "text")  # bounded by train_rows
+    texts = texts.join(F.broadcast(y), "doc_id")  # bounded by train_rows
+    # one text an id, however often an id is repeated; both passes below read this small table
+    texts = materialize(texts.groupBy("doc_id", "y").agg(F.min("text").alias("text")), "training")
 
     def count(batches):
         memo, counts = _Terms(), [np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)]
