@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from ..config import EngineConfig
 from ..functions import media, text
+from ..functions.media import let
 
 CHUNK = "array<struct<text:string,media_path:string,start_sec:double,end_sec:double,row:int,col:int,scene_index:int,is_tile:boolean,width:int,height:int>>"
+#: Windows of a text that are cut from one block of it.
+BLOCK = 64
 _FIELDS = ("text", "media_path", "start_sec", "end_sec", "row", "col", "scene_index", "is_tile", "width", "height")
 
 
@@ -36,12 +39,31 @@ def _chunk(**own: Column) -> Column:
     return F.struct(*(own.get(k, F.lit(None)).alias(k) for k in _FIELDS))
 
 
+def text_pieces(content: Column, window: int = 1000, overlap: int = 100) -> Column:
+    """array<string>: the text of each of functions.text.text_windows().
+
+    A substring is found by walking from a text's start, so windows are cut from blocks of BLOCK windows
+    each: a very long text is walked once a block and not once a window.
+    """
+    step = window - overlap
+
+    def cut(whole: Column, n: Column) -> Column:
+        count = F.greatest(F.ceil((n - overlap) / step).cast("int"), F.lit(1))
+
+        def block(b: Column) -> Column:
+            own = F.sequence(F.lit(0), F.least(F.lit(BLOCK), count - b * BLOCK) - 1)
+            piece = F.substring(whole, b * (BLOCK * step) + 1, F.lit((BLOCK - 1) * step + window))
+            return let(piece, lambda t: F.transform(own, lambda i: F.substring(t, i * step + 1, F.lit(window))))
+
+        windows = F.flatten(F.transform(F.sequence(F.lit(0), F.ceil(count / BLOCK).cast("int") - 1), block))
+        tail = F.array(F.substring(whole, n - overlap + 1, F.lit(overlap)))
+        return F.when(n <= overlap, F.array(whole)).otherwise(F.concat(windows, tail))
+
+    return let(F.coalesce(content, F.lit("")), lambda whole: let(F.length(whole), lambda n: cut(whole, n)))
+
+
 def text_chunks(content: Column, window: int = 1000, overlap: int = 100) -> Column:
-    whole = F.coalesce(content, F.lit(""))
-    return F.transform(
-        text.text_windows(whole, window, overlap),
-        lambda w: _chunk(text=F.substring(whole, (w["start"] + 1).cast("int"), (w["end"] - w["start"]).cast("int"))),
-    )
+    return F.transform(text_pieces(content, window, overlap), lambda t: _chunk(text=t))
 
 
 def image_chunks(content: Column, path: Column, width: Column, height: Column, config: EngineConfig) -> Column:

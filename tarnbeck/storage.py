@@ -10,6 +10,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 
+_written: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder that ``spark.checkpoint.dir`` names. Only where the setting is absent (local
     tests) is a temporary folder made and used."""
@@ -28,13 +31,24 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._tarnbeck_path = path
+    _written.append(path)
     return out
 
 
+def sweep(spark: SparkSession) -> None:
+    """Delete all tables that materialize() has written in this process, once their results are saved."""
+    for path in _written:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    _written.clear()
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table made by materialize() that no later plan reads."""
     path = getattr(df, "_tarnbeck_path", None)
     if path:
+        if path in _written:
+            _written.remove(path)
         spark = df.sparkSession
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

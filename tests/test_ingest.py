@@ -168,6 +168,19 @@ def test_sinks(spark, tmp_path):
     assert index.delete_vectors(got.vectors, spark.createDataFrame([("text",)], "modality string"), "modality").isEmpty()
 
 
+def test_sweep_deletes_what_was_written(spark, tmp_path):
+    from tarnbeck import storage
+
+    a, b = (storage.materialize(spark.range(3), "t") for _ in range(2))
+    storage.discard(a)
+    assert b._tarnbeck_path in storage._written and a._tarnbeck_path not in storage._written and b.count() == 3
+    storage._written[:] = [b._tarnbeck_path]  # other tests' tables stay
+    storage.sweep(spark)
+    import os
+
+    assert not os.path.exists(b._tarnbeck_path.removeprefix("file://")) and not storage._written
+
+
 def test_vector_store_needs_a_client(spark):
     spark.dataSource.register(sinks.VectorStoreSource)
     df = spark.createDataFrame([("k", [1.0])], "key string, vector array<float>")

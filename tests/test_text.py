@@ -86,6 +86,15 @@ def test_chunks_count_code_points(spark):
     assert got[1] == got[2] == [""]
 
 
+def test_long_texts_are_cut_from_blocks(spark):
+    rng = random.Random(4)
+    values = ["".join(rng.choices("abé𝒳 ", k=n)) for n in (57_599, 57_600, 57_700, 57_701, 58_600, 115_300, 200_001)]
+    got = column(spark, values, lambda c: chunk.text_pieces(c))
+    assert got == [[v[a:b] for a, b in windows(len(v))] for v in values]
+    got = column(spark, values[:1], lambda c: chunk.text_pieces(c, 50, 10))
+    assert got[0] == [values[0][a:b] for a, b in windows(len(values[0]), 50, 10)]
+
+
 def test_audio_spans(spark):
     sizes = [0.1, 5.0, 5.1, 30.0, 30.1, 55.0, 3600.0]
     df = spark.createDataFrame([(d,) for d in sizes], "d double").select("d", text.spans(F.col("d"), 30.0, 5.0).alias("w"))
