@@ -32,11 +32,11 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 class PerfectHash:
     """Minimal perfect hash of byte strings by hash and displace: a pilot for each bucket of about
-    four keys sends them to free slots; a bucket of one key names its slot outright (negative)."""
+    two keys sends them to free slots; a bucket of one key names its slot outright (negative)."""
 
     def __init__(self, keys: list[bytes], tables: tuple[list[int], list[int]] | None = None):
         n = len(keys)
-        self.n, self.buckets = n, max(1, n // 4)
+        self.n, self.buckets = n, max(1, n // 2)
         if tables:
             self.pilots, self.slots = tables
             return
