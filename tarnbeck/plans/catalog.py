@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import EngineConfig
 from ..functions import media, text, vectors
-from ..operators import chunk, dedup, embed, index, metadata, privacy, search, validate
+from ..operators import chunk, dedup, embed, index, metadata, privacy, quality, search, validate
 from ..operators.route import extension, modality
 from ..storage import materialize, shared_dir
 from ..streaming import arrivals
@@ -272,6 +272,11 @@ def quarantine_keys(spark, sf_dir):
     return index.quarantine(_entries(spark, sf_dir), C)
 
 
+def quality_report(spark, sf_dir):
+    docs = fx.text_docs(spark, sf_dir, C).unionByName(fx.page_docs(spark, sf_dir, C))
+    return quality.report(ingest(docs, C, _at()).chunks)
+
+
 def delete_by_modality(spark, sf_dir):
     v, _ = _searchable(spark, sf_dir)
     gone = spark.createDataFrame([("image",), ("video",)], "modality string")
@@ -299,6 +304,6 @@ QUERIES = {
         route_modality, unsupported_extension, clean_text, validate_text, pii_redact, pii_counts, chunk_text, chunk_stats, text_pipeline, html_pages_as_text,
         transcript_compose, audio_validate, video_validate, image_validate, audio_windows, audio_chunks, audio_redact_chunks, scene_merge, video_chunks, keyframe_prune,
         probe_parse, image_tiles, phash_bits, hamming_pairs, greedy_dedup, fuse_vectors, dual_vector_records, fused_vector_records, chunk_records_vs_vectors,
-        topk_search, topk_filtered, topk_by_modality, manifest, run_summary, quarantine_keys, delete_by_modality, arrivals_by_day, ingest_stream_dedup,
+        topk_search, topk_filtered, topk_by_modality, manifest, run_summary, quarantine_keys, quality_report, delete_by_modality, arrivals_by_day, ingest_stream_dedup,
     )
 }

@@ -202,6 +202,10 @@ SQL = {
     "run_summary": f"WITH {_ENTRIES} SELECT count(*) FILTER (status = 'success') AS success, count(*) FILTER (status = 'failed') AS failed, count(*) FILTER (status = 'skipped') AS skipped FROM entry",
     "quarantine_keys": f"""WITH {_ENTRIES} SELECT s3_key, 'quarantine/' || modality || '/' || s3_key AS quarantine_key, reason FROM entry
       WHERE status = 'failed' AND modality IS NOT NULL AND reason <> 'no_chunks_indexed'""",
+    "quality_report": f"""WITH pg AS (SELECT {_CLEAN_HTML} AS x, {_EXT.format(k="url")} AS e FROM pages),
+      t AS (SELECT {_CLEAN_TEXT} AS x FROM documents UNION ALL SELECT x FROM pg WHERE {_MODALITY.format(e="e")} = 'text'), c AS (SELECT c FROM {_chunks("t", "1 AS one", "x")})
+      SELECT 'text' AS modality, count(*) AS chunks, count(*) FILTER (c = '') AS empty, count(*) FILTER (length(c) < 20) AS short, sum(length(c))::BIGINT AS chars, 0::BIGINT AS unindexed,
+        sum({" + ".join(f"(length(c) - length(replace(c, '{m}', ''))) // {len(m)}" for _, m in _MARKS)})::BIGINT AS redactions FROM c""",
     "delete_by_modality": f"WITH {_SCORED} SELECT modality, count(*) AS \"left\", sum(key)::BIGINT AS keys FROM v WHERE modality NOT IN ('image', 'video') GROUP BY modality",
     "arrivals_by_day": "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS arrivals FROM events GROUP BY ALL",
     "ingest_stream_dedup": "SELECT event_type, count(DISTINCT user_id) AS users FROM events GROUP BY event_type",
