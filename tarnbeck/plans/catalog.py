@@ -157,7 +157,8 @@ def keyframe_prune(spark, sf_dir):
     v = fx.table(spark, sf_dir, "embeddings").withColumn("h", vectors.sign_bits(F.col("embedding")))
     path = F.when(F.col("vec_id") % 17 != 0, F.concat(F.lit("k/"), F.col("vec_id").cast("string")))
     scene = F.struct(F.col("vec_id").cast("int").alias("scene_index"), F.lit(0.0).alias("start_sec"), F.lit(0.0).alias("end_sec"), path.alias("keyframe_path"), F.col("h").alias("phash"))
-    kept = v.groupBy("label").agg(media.prune_scenes(F.array_sort(F.collect_list(scene)), FRAME_DISTANCE).alias("k"))
+    # a video is a label's vectors of one thousand ids, so that none grows with the table
+    kept = v.groupBy("label", F.floor(F.col("vec_id") / 1000)).agg(media.prune_scenes(F.array_sort(F.collect_list(scene)), FRAME_DISTANCE).alias("k"))
     return kept.select("label", F.explode("k.scene_index").alias("vec_id"))
 
 

@@ -165,12 +165,12 @@ SQL = {
     "video_chunks": f"""WITH RECURSIVE {_SCENES}, t AS (SELECT conv_id, turn, text, (sum(1000 + 40 * length(text)) OVER (PARTITION BY conv_id ORDER BY turn)) AS f, 1000 + 40 * length(text) AS ms FROM conversations)
       SELECT user_id, day::VARCHAR AS day, x::INTEGER AS ordinal, s AS start_sec, e AS end_sec, md5(coalesce(string_agg(t.text, ' ' ORDER BY t.turn), '')) AS text_md5
       FROM scene LEFT JOIN t ON t.conv_id = user_id % 100 AND (t.f - t.ms) / 1000.0 < e AND t.f / 1000.0 > s GROUP BY ALL""",
-    "keyframe_prune": """WITH RECURSIVE o AS (SELECT label, vec_id, embedding AS v, vec_id % 17 <> 0 AS framed, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS i FROM embeddings),
-      f AS (SELECT label, 0::BIGINT AS i, NULL::BIGINT AS vec_id, NULL::FLOAT[] AS last, false AS kept FROM (SELECT DISTINCT label FROM embeddings)
-        UNION ALL SELECT label, i, vec_id, CASE WHEN framed AND NOT near THEN v ELSE last END, NOT near FROM (
-          SELECT o.label, o.i, o.vec_id, o.v, o.framed, f.last,
+    "keyframe_prune": """WITH RECURSIVE o AS (SELECT label, vec_id // 1000 AS part, vec_id, embedding AS v, vec_id % 17 <> 0 AS framed, row_number() OVER (PARTITION BY label, vec_id // 1000 ORDER BY vec_id) AS i FROM embeddings),
+      f AS (SELECT label, part, 0::BIGINT AS i, NULL::BIGINT AS vec_id, NULL::FLOAT[] AS last, false AS kept FROM (SELECT DISTINCT label, vec_id // 1000 AS part FROM embeddings)
+        UNION ALL SELECT label, part, i, vec_id, CASE WHEN framed AND NOT near THEN v ELSE last END, NOT near FROM (
+          SELECT o.label, o.part, o.i, o.vec_id, o.v, o.framed, f.last,
             o.framed AND f.last IS NOT NULL AND len(list_filter(range(1, 65), lambda k: (o.v[k] > 0) <> (f.last[k] > 0))) <= 24 AS near
-          FROM f JOIN o ON o.label = f.label AND o.i = f.i + 1))
+          FROM f JOIN o ON o.label = f.label AND o.part = f.part AND o.i = f.i + 1))
       SELECT label, vec_id::INTEGER AS vec_id FROM f WHERE kept""",
     "probe_parse": """SELECT event_id, CASE WHEN bad THEN NULL WHEN event_id % 5 = 0 THEN 7.5::DOUBLE ELSE (event_id % 1000) + 0.25::DOUBLE END AS duration_sec,
       CASE WHEN bad THEN NULL ELSE (event_id % 1000)::INTEGER END AS width, CASE WHEN bad THEN NULL ELSE round([30.0::DOUBLE, 30000::DOUBLE / 1001, 0.0, 0.0][event_id % 4 + 1], 6) END AS fps,
