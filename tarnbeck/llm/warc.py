@@ -203,7 +203,10 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
         return reassemble(parts, payloads)
 
     parsed = materialize(files.mapInArrow(run, _PART), "records")
-    joined = parsed.where("segment is not null").groupBy("origin").applyInArrow(whole, _PART)
+    # a capture written often, as repeated rows are, is one set of segments and a count
+    once = parsed.where("segment is not null").groupBy("origin", "segment").agg(*(F.first(c).alias(c) for c in _NAMES if c not in ("origin", "segment")), F.count("*").alias("copies"))
+    joined = once.select(*_NAMES, "copies").groupBy("origin").applyInArrow(whole, _PART + ", copies long")
+    joined = joined.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("copies", "copy")
     return parsed.where("segment is null").unionByName(joined).drop("origin", "segment", "total")
 
 
@@ -212,18 +215,16 @@ def _batch(rows: list[dict]) -> pa.RecordBatch:
 
 
 def reassemble(parts: pa.Table, payloads: bool = True) -> pa.Table:
-    """One capture's segments, in any order, to its row. A capture written several times (as repeated
-    rows are) has every segment as often, and gives as many rows."""
+    """One capture's segments, each once and in any order, to its row. Where there is a column copies,
+    every segment must have been there as often."""
     rows = sorted(parts.to_pylist(), key=lambda r: r["segment"])
-    last = rows[-1]["segment"]
-    times = len(rows) // last
-    if [r["segment"] for r in rows] != [n for n in range(1, last + 1) for _ in range(times)]:
+    if [r["segment"] for r in rows] != list(range(1, len(rows) + 1)) or len({r.get("copies") for r in rows}) != 1:
         raise ValueError(f"segments of {rows[0]['origin']} are missing")
-    block = b"".join(r["payload"] for r in rows[::times])
+    block = b"".join(r["payload"] for r in rows)
     if rows[-1]["total"] != len(block):
         raise ValueError(f"{rows[0]['origin']} has {len(block)} of {rows[-1]['total']} bytes")
-    first = rows[0] | _checked(rows[0]["payload_digest"], payload_of(block), payloads)
-    return pa.Table.from_batches([_batch([first] * times)])
+    out = pa.Table.from_batches([_batch([rows[0] | _checked(rows[0]["payload_digest"], payload_of(block), payloads)])])
+    return out.append_column("copies", pa.array([rows[0]["copies"]], pa.int64())) if "copies" in parts.column_names else out
 
 
 def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_bytes: int = 0) -> DataFrame:
