@@ -20,6 +20,8 @@ TREES, LABELS = 20, 8
 THIN = 64
 #: Texts of one side of a block, when candidates are compared and when they are verified.
 BLOCK, VERIFY_BLOCK = 1_024, 256
+#: Shingles of one side of a block when texts are verified, about.
+BLOCK_SHINGLES = 2_000_000
 
 _WORDS = re.compile(r"\w+").findall
 _MEMO_WORDS = 300_000
@@ -267,8 +269,11 @@ def jaccard_join(
     classes = materialize(classes, "classes")
     clusters = components(candidates(classes, sketcher, threshold, thin, block))
     clusters = materialize(clusters, "clusters")
-    sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / verify_block).cast("int").alias("blocks"))
-    wanted = clusters.join(sizes, "component").join(classes.select("node", "weight", "doc_id", "md5"), "node")
+    members = clusters.join(classes.select("node", "weight", "doc_id", "md5", "n"), "node")
+    # a block is bounded in texts and in shingles, so that very long texts fit a task too
+    least = F.greatest(F.count("*") / verify_block, F.sum("n") / BLOCK_SHINGLES)
+    sizes = members.groupBy("component").agg(F.ceil(least).cast("int").alias("blocks"))
+    wanted = members.drop("n").join(sizes, "component")
     wanted = wanted.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     texts = (
         rows.withColumn("doc_id", F.coalesce("doc_id", F.lit(-1).cast("long")))
