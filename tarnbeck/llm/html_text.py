@@ -40,6 +40,9 @@ _ATTR = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"
 _MARK = re.compile(r"(?:^|[\s_-])(?:" + "|".join(MARKS) + r")(?=$|[\s_-])", re.I)
 _HIDDEN = re.compile(r"\bhidden(?=[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _SPACE = re.compile(r"\s+")
+#: In an a tag: a place to link to, not a link; such tags are often left open.
+_TARGET = re.compile(r"(?!.*\bhref\b).*\b(?:name|id)\s*=", re.S | re.I)
+_WORD = re.compile(r"\w")
 
 
 def _marked(more: str) -> bool:
@@ -48,22 +51,31 @@ def _marked(more: str) -> bool:
 
 def lines_of(page: str) -> list[tuple[str, int, bool]]:
     """(text, characters outside links, inside an article) for each block of the page, in order.
-    What can't be article text is left out, and WINDOW empty lines stand in its place, so that no
+    Signs alone, as between links, don't count as characters outside them. What can't be article text is left out, and WINDOW empty lines stand in its place, so that no
     window reaches across it."""
     lines: list[tuple[str, int, bool]] = []
     parts: list[str] = []
     plain = main = depth = 0
-    linked = False
+    linked = links = words = False
     skip, nested = "", 0
 
     def close():
-        nonlocal plain
+        nonlocal plain, links, words
         if parts:
             text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
             if text:
-                lines.append((text, plain, main > 0))
+                lines.append((text, 0 if links and not words else plain, main > 0))
             parts.clear()
-        plain = 0
+        plain, links, words = 0, False, False
+
+    def add(own: str):
+        nonlocal plain, links, words
+        parts.append(own)
+        if linked:
+            links = True
+        else:
+            plain += len(own.strip())
+            words = words or bool(_WORD.search(html.unescape(own)))
 
     def gap():
         close()
@@ -73,10 +85,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     at = 0
     for m in _TOKEN.finditer(page):
         if not skip and m.start() > at:
-            own = page[at : m.start()]
-            parts.append(own)
-            if not linked:
-                plain += len(own.strip())
+            add(page[at : m.start()])
         at = m.end()
         tag = (m["tag"] or "").lower()
         if not tag:
@@ -115,10 +124,9 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         elif tag == "br":
             parts.append(" ")
         elif tag == "a":
-            linked = not ends
+            linked = not ends and not _TARGET.match(more)
     if not skip and at < len(page):
-        parts.append(page[at:])
-        plain += 0 if linked else len(page[at:].strip())
+        add(page[at:])
     close()
     return lines
 
@@ -128,7 +136,9 @@ def main_text(page: str, window: int = WINDOW, surge: float = SURGE) -> str:
 
     Each line's sum runs over its window of lines. A region surges where the sum rises above surge
     times the page's greatest and dives where it falls to nothing. Regions inside an article are the
-    main text if there are any; else every region that surges is.
+    main text if there are any. Else every block with words outside links is, however short: only
+    what lines_of leaves out is known not to be text. Blocks of links alone are main text between
+    the first surge and the last dive, and navigation before and behind.
     """
     lines = lines_of(page)
     weights = [w for _, w, _ in lines]
@@ -145,14 +155,11 @@ def main_text(page: str, window: int = WINDOW, surge: float = SURGE) -> str:
         elif start is not None:
             regions.append((start, i, best))
             start = None
-    kept = []
-    for a, b, best in regions:
-        if inside:
-            kept += [t for t, _, m in lines[a:b] if t and m]
-        elif best >= least:
-            own = [i for i in range(a, b) if weights[i]]  # links at either end are no text
-            kept += [t for t, _, _ in lines[own[0] : own[-1] + 1] if t]
-    return "\n".join(kept)
+    if inside:
+        return "\n".join(t for a, b, _ in regions for t, _, m in lines[a:b] if t and m)
+    text = [i for a, b, best in regions if best >= least for i in range(a, b) if weights[i]]
+    first, last = (text[0], text[-1]) if text else (0, -1)
+    return "\n".join(t for i, (t, w, _) in enumerate(lines) if t and (w or first <= i <= last))
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -24,6 +24,20 @@ def test_pages():
         assert H.main_text(page) == want, page
 
 
+def test_short_blocks_without_article():
+    long, short = ["x" * 600] * 3, "y" * 100
+    paragraphs = "".join(f"<p>{x}</p>" for x in long)
+    want = "\n".join([*long, short])
+    for between in ("<div class=ad>Buy</div>", "<form>sign</form>", "<aside>no</aside>"):
+        assert H.main_text(f"<body>{paragraphs}{between}<p>{short}</p></body>") == want
+        assert H.main_text(f"<div><div>{paragraphs}</div>{between}<div><p>{short}</p></div></div>") == want
+        assert H.main_text(f"<p>{short}</p>{between}{paragraphs}") == "\n".join([short, *long])
+        assert H.main_text(f"{paragraphs}{between}<p><a>z</a></p><p>{short}</p>{between}{paragraphs}") == "\n".join([*long, "z", short, *long])
+    home = "<ul><li><a>Home</a></ul><p><a>Up</a> &nbsp;| <a>Down</a></p>"
+    assert H.main_text(f"{home}{paragraphs}<div class=ad>Buy</div><p>* * *</p><p>{short}</p>{home}") == "\n".join([*long, "* * *", short])
+    assert H.main_text(f"{home}") == "" and H.main_text("<a name=top><p>one</p>") == "one"
+
+
 def test_long_page():
     page = "<article>" + "<p>word word</p>" * 50_000 + "</article>"
     assert H.main_text(page) == "\n".join(["word word"] * 50_000)
