@@ -134,17 +134,19 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
 def main_text(page: str, window: int = WINDOW, surge: float = SURGE) -> str:
     """The blocks of the page's main text, joined by line ends.
 
-    Each line's sum runs over its window of lines. A region surges where the sum rises above surge
-    times the page's greatest and dives where it falls to nothing. Regions inside an article are the
-    main text if there are any. Else every block with words outside links is, however short: only
-    what lines_of leaves out is known not to be text. Blocks of links alone are main text between
-    the first surge and the last dive, and navigation before and behind.
+    Blocks inside an article are the main text, links or not, if any of them has words outside links.
+    Else they and every other block with words outside links are, however short: only what lines_of
+    leaves out is known not to be text. Other blocks of links alone are main text between the first
+    surge and the last dive, and navigation before and behind. Each line's sum runs over its window
+    of lines; a region surges where the sum rises above surge times the page's greatest and dives
+    where it falls to nothing.
     """
     lines = lines_of(page)
+    if any(m and w for _, w, m in lines):
+        return "\n".join(t for t, _, m in lines if t and m)
     weights = [w for _, w, _ in lines]
     sums = [sum(weights[i : i + window]) for i in range(len(lines))]
     least = surge * max(sums, default=0)
-    inside = any(m and w for _, w, m in lines)
     regions: list[tuple[int, int, int]] = []
     start, best = None, 0
     for i, s in enumerate([*sums, 0]):
@@ -155,11 +157,9 @@ def main_text(page: str, window: int = WINDOW, surge: float = SURGE) -> str:
         elif start is not None:
             regions.append((start, i, best))
             start = None
-    if inside:
-        return "\n".join(t for a, b, _ in regions for t, _, m in lines[a:b] if t and m)
     text = [i for a, b, best in regions if best >= least for i in range(a, b) if weights[i]]
     first, last = (text[0], text[-1]) if text else (0, -1)
-    return "\n".join(t for i, (t, w, _) in enumerate(lines) if t and (w or first <= i <= last))
+    return "\n".join(t for i, (t, w, m) in enumerate(lines) if t and (m or w or first <= i <= last))
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -38,6 +38,18 @@ def test_short_blocks_without_article():
     assert H.main_text(f"{home}") == "" and H.main_text("<a name=top><p>one</p>") == "one"
 
 
+def test_links_inside_article():
+    links = [f"l{i}" for i in range(6)]
+    listed = "<ul>" + "".join(f"<li><a href=/{x}>{x}</a>" for x in links) + "</ul>"
+    nav = "<nav><a href=/>Home</a></nav>"
+    for tag in ("article", "main"):
+        for ad in ("", "<div class=ad>Buy</div>"):
+            assert H.main_text(f"{nav}<{tag}><p>text</p>{ad}{listed}</{tag}>{nav}") == "\n".join(["text", *links])
+            assert H.main_text(f"{nav}<{tag}>{listed}{ad}<p>text</p></{tag}>{nav}") == "\n".join([*links, "text"])
+        assert H.main_text(f"{nav}<{tag}>{listed}</{tag}>{nav}") == "\n".join(links)
+        assert H.main_text(f"<p>story</p><div class=ad>Buy</div><{tag}>{listed}</{tag}>") == "\n".join(["story", *links])
+
+
 def test_long_page():
     page = "<article>" + "<p>word word</p>" * 50_000 + "</article>"
     assert H.main_text(page) == "\n".join(["word word"] * 50_000)
