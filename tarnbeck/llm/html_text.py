@@ -30,23 +30,57 @@ MARKS = (
     "replies related recommended share sharing social newsletter subscribe subscription signup login search widget widgets contentinfo complementary"
 ).split()
 
+#: Words that mark an article or main element too, words of classes that tell of a layout
+#: or a state instead (has-sidebar, comments-open), elements whose id may mark them, and words that an id
+#: may have besides.
+COMMENT = frozenset("comment comments commentlist".split())
+LAYOUT = frozenset("has have with without no not non layout template open opened closed collapsed expanded enabled disabled".split())
+HOLDERS = frozenset("div section ul ol dl table fieldset details figure center nav aside header footer".split())
+PLACES = frozenset(
+    "area bar block bottom box button buttons center col column container div element footer form global google group header holder inner item items js left link links list "
+    "main mobile desktop outer page panel post posts primary right row section secondary site slot thread top unit wrap wrapper zone".split()
+)
+
+_MARKS = frozenset(MARKS)
 _RAW = "|".join(RAW)
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(?P<raw>{_RAW})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<more>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[/!?a-zA-Z][^<>]*\Z",
     re.S | re.I,
 )
-_ATTR = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_MARK = re.compile(r"(?:^|[\s_-])(?:" + "|".join(MARKS) + r")(?=$|[\s_-])", re.I)
-_HIDDEN = re.compile(r"\bhidden(?=[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_SPLIT = re.compile(r"[_-]+")
+_NONE = re.compile(r"display\s*:\s*none", re.I)
 _SPACE = re.compile(r"\s+")
 #: In an a tag: a place to link to, not a link; such tags are often left open.
 _TARGET = re.compile(r"(?!.*\bhref\b).*\b(?:name|id)\s*=", re.S | re.I)
 _WORD = re.compile(r"\w")
 
 
-def _marked(more: str) -> bool:
-    return any(_MARK.search(a or b or c) for a, b, c in _ATTR.findall(more)) or bool(_HIDDEN.search(more))
+def _says(name: str, words: list[str], tag: str) -> bool:
+    """Whether the words of one class, id or role say that an element of that tag is no article text."""
+    if tag in MAIN:
+        return any(w in COMMENT for w in words) and not any(w in LAYOUT for w in words)
+    if name == "role":
+        return any(w in _MARKS for w in words)
+    if name == "id":
+        # ids of text are made of its words, so one with any word of another kind says nothing
+        return tag in HOLDERS and any(w in _MARKS for w in words) and all(w in _MARKS or w in PLACES or w.isdigit() for w in words)
+    return any(w in _MARKS for w in words) and not any(w in LAYOUT for w in words) and not {"content", "sidebar"} <= set(words)
+
+
+def _marked(tag: str, more: str) -> bool:
+    if not more or more.isspace():
+        return False
+    for name, a, b, c in _ATTR.findall(more):
+        name, value = name.lower(), a or b or c
+        if name == "hidden" or (name == "aria-hidden" and value.strip().lower() == "true") or (name == "style" and _NONE.search(value)):
+            return True
+        if name in ("class", "id", "role"):
+            for own in value.lower().split():
+                if (name == "class" and own == "hidden") or _says(name, [w for w in _SPLIT.split(own) if w], tag):
+                    return True
+    return False
 
 
 def lines_of(page: str) -> list[tuple[str, int, bool]]:
@@ -97,12 +131,12 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             if tag == skip:
                 nested += -1 if ends else 1
                 if skip in ("p", "li") and not ends:
-                    nested = 1 if _marked(more) else 0
+                    nested = 1 if _marked(tag, more) else 0
                 if nested <= 0:
                     skip = ""
                     if not ends:
                         continue
-            elif not ends and tag in MAIN and not _marked(more) and skip not in ("p", "li"):
+            elif not ends and tag in MAIN and not _marked("div", more) and skip not in ("p", "li"):
                 skip = ""
             elif skip in ("p", "li") and tag in BLOCKS and (ends or skip == "p"):
                 skip = ""
@@ -112,7 +146,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                 continue
         if not ends and not more.rstrip().endswith("/") and tag not in ("body", "html"):
             apart = tag in SKIPPED and not (tag == "header" and main)
-            if apart or (_marked(more) and tag not in ("br", "img", "hr", "input", "meta", "link", "wbr", "source")):
+            if apart or (_marked(tag, more) and tag not in ("br", "img", "hr", "input", "meta", "link", "wbr", "source")):
                 gap()
                 skip, nested = tag, 1
                 continue

@@ -50,6 +50,24 @@ def test_links_inside_article():
         assert H.main_text(f"<p>story</p><div class=ad>Buy</div><{tag}>{listed}</{tag}>") == "\n".join(["story", *links])
 
 
+def test_marks():
+    kept = [
+        "article class='post has-sidebar'", "main class='with-sidebar'", "article class='promo'", "main id=search", "article class='post no-comments'", "h2 id='related-work'", "h2 id='search-algorithms'",
+        "h3 id=comments", "p id='notice-1'", "section id='related-work'", "div id='search-algorithms'", "span id=Related_work", "a href='/hidden/page'", "a href=/hidden/page", "p title='Hidden gems'",
+        "div class='overflow-hidden rounded'", "div class='content-sidebar-wrap'", "div class='layout--sidebar-left'", "div class=comments-open", "p data-id=nav", "p data-role='x' data-class='ad'", "p class=is-hidden id=x",
+    ]
+    left = [
+        "article class=comment", "article class='hentry comment-body'", "article hidden", "div class=ad", "div id=cookie-notice", "div id='comment-12'", "div id='related-posts'", "section id=comments", "h2 class=widget",
+        "div class='site-footer wide'", "div role=navigation", "p HIDDEN", "p class='x hidden'", "div aria-hidden=true", "div style='color:red; display : none'", "p hidden=''",
+    ]
+    for own in kept:
+        assert H.main_text(f"<article><p>one</p><{own}>two</{own.split()[0]}></article>") == "one\ntwo", own
+    for own in left:
+        assert H.main_text(f"<p>one</p><{own}>two</{own.split()[0]}><p>three</p>") == "one\nthree", own
+    assert H.main_text("<main class='with-sidebar'><p>a</p><h2 id=related-work>B</h2><p><a href='/hidden/page'>c</a></p></main>") == "a\nB\nc"
+    assert H.main_text("<div class=related><article class=related-post><p>no</p></article></div><article><p>yes</p></article>") == "yes"
+
+
 def test_long_page():
     page = "<article>" + "<p>word word</p>" * 50_000 + "</article>"
     assert H.main_text(page) == "\n".join(["word word"] * 50_000)
