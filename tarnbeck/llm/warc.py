@@ -120,6 +120,7 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, segment: i
     Of records with equal payloads of at least least_bytes, the one of the smallest order (then
     capture) is the response and the others are revisits of it. Digests are found first and only
     they are shuffled and pre-aggregated; then each record is written by the task that reads it.
+    Rows that repeat a capture are looked up once and written as often as they are there.
     Files are Spark text output whose line separator is the format's end of record, so the commit
     protocol makes a rerun after a lost executor safe and any file system Spark knows will do.
     """
@@ -127,7 +128,7 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, segment: i
     facts = pages.select("capture", "order", F.sha1("payload").alias("sha"), F.length("payload").alias("size"))
     firsts = facts.where(F.col("size") >= least_bytes).groupBy("sha").agg(F.min(F.struct(F.col("order").isNull().alias("z"), "order", "capture")).alias("first"), F.count("*").alias("n"))
     firsts = firsts.where("n > 1").select("sha", F.col("first.capture").alias("first"))
-    role = materialize(facts.where(F.col("size") >= least_bytes).join(firsts, "sha").where("capture <> first").select("capture", "first"), "revisits")
+    role = materialize(facts.where(F.col("size") >= least_bytes).join(firsts, "sha").where("capture <> first").select("capture", "first").distinct(), "revisits")
     small = role.count() <= BROADCAST_ROWS
     joined = pages.join(F.broadcast(role) if small else role, "capture", "left")
 

@@ -34,6 +34,15 @@ def test_round_trip(spark):
     assert got(df.where("false")) == []
 
 
+def test_repeated_revisits(spark, monkeypatch):
+    big = "x" * 200_000
+    rows = [(1, "a"), (2, "a"), (2, "a"), (2, "a"), (None, "a"), (None, "a"), (3, big), (4, big), (4, big), (3, big), (5, None), (6, ""), (6, "")]
+    df = spark.createDataFrame([(p, "u", h) for p, h in rows], "page_id long, url string, html string").repartition(3)
+    for least in (W.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(W, "BROADCAST_ROWS", least)
+        assert got(df) == brute(rows)
+
+
 def test_query(spark, sf_dir):
     rows = [(r["page_id"], r["html"]) for r in queries.table(spark, sf_dir, "pages").collect()]
     cols = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
