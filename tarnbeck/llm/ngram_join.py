@@ -1,4 +1,4 @@
-"""N-gram Jaccard join: MinHash LSH forest, then exact verification."""
+"""N-gram Jaccard join: MinHash LSH bands of two lengths, then exact verification."""
 
 from __future__ import annotations
 
@@ -246,8 +246,8 @@ def jaccard_join(
     (of the text).
 
     Texts of equal shingle sets are first collapsed to one class with a count. A class's labels lie
-    in the tries of a forest; the matched prefix is shortened until the wanted recall, and by one
-    more label at thin nodes. Classes that share a node and whose labels agree enough make
+    in bands, one a tree, whose length follows from the threshold and the wanted recall; thin nodes
+    are matched one label shorter. Nothing is steered by links found so far. Classes that share a node and whose labels agree enough make
     candidate edges; candidate clusters are then verified exactly, all pairs of a cluster, in pairs
     of blocks. Counts and spanning edges leave a task, never pairs, so a large group of near copies
     costs rows in proportion to it times its blocks (its arithmetic still grows with its square).
