@@ -55,11 +55,20 @@ def image_rows(spark, sf_dir):
     )
 
 
+def image_hash(key):
+    """Keys equal modulo 500 are twins, as the SQL has it: exact ones, or near ones with one or two bits
+    set otherwise. The n-th twin has the sqrt(n)-th of those bit patterns, so that both the distinct
+    hashes and the near pairs grow with the table, the pairs in proportion to it."""
+    bits = F.conv(F.substring(F.md5((key % 500).cast("string")), 1, 15), 16, 10).cast("long")
+    k = F.floor(F.sqrt(F.floor(key / 500))).cast("long")
+    ones = F.array(*(F.lit(1 << i).cast("long") for i in range(60)))
+    return bits.bitwiseXOR(F.get(ones, k % 60).bitwiseOR(F.get(ones, (k + F.floor(k / 60)) % 60)))
+
+
 def image_docs(spark, sf_dir, config):
     rows = image_rows(spark, sf_dir)
     key = F.concat(F.lit("raw/image/"), F.col("p_partkey").cast("string"), F.lit(".png"))
-    bits = F.conv(F.substring(F.md5((F.col("p_partkey") % 500).cast("string")), 1, 15), 16, 10).cast("long")
-    image = F.struct("width", "height", "format", F.lit(None).alias("exif"), F.lit("").alias("ocr_text"), F.lit("").alias("caption"), bits.alias("phash"), F.lit(None).alias("is_duplicate"), F.lit(False).alias("exif_stripped"))
+    image = F.struct("width", "height", "format", F.lit(None).alias("exif"), F.lit("").alias("ocr_text"), F.lit("").alias("caption"), image_hash(F.col("p_partkey")).alias("phash"), F.lit(None).alias("is_duplicate"), F.lit(False).alias("exif_stripped"))
     return _docs(rows.select(key.alias("source_key"), F.lit("").alias("content_text"), key.alias("media_path"), F.col("bytes").alias("media_bytes_len"), image.alias("image")), config)
 
 
