@@ -11,13 +11,19 @@ from pyspark.sql import functions as F
 
 from .common import slices
 
-#: Lines of a window, and the share of the page's greatest window sum that a surge needs.
-WINDOW, SURGE = 3, 0.2
+#: Lines of a window; a region surges where a window's sum reaches the lesser of that share of the page's
+#: greatest sum and so many characters.
+WINDOW, SURGE, SURGE_CHARS = 3, 0.2, 80
+#: An element that marks or a form tag leave out is text after all if it has at least so many characters
+#: and those left without it are less than that share of them.
+WRAPPER_CHARS, WRAPPER_REST = 200, 0.1
 
 #: Elements without text of their own, elements that are never article text, elements
 #: that hold an article, and elements that begin and end a block.
 RAW = ("script", "style", "noscript", "template", "textarea", "select", "iframe", "svg", "math", "object", "title", "head")
 SKIPPED = ("nav", "aside", "footer", "form", "button", "dialog", "menu", "header")
+EDGES = ("nav", "footer", "dialog", "menu", "header")
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 MAIN = ("article", "main")
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -30,16 +36,19 @@ MARKS = (
     "replies related recommended share sharing social newsletter subscribe subscription signup login search widget widgets contentinfo complementary"
 ).split()
 
-#: Words that mark an article or main element too, words of classes that tell of a layout
-#: or a state instead (has-sidebar, comments-open), elements whose id may mark them, and words that an id
-#: may have besides.
+#: Words that mark an article or main element too, elements whose id may mark them, and
+#: words that a marking class or id may have besides (comments-open and notice-of-death mark nothing).
 COMMENT = frozenset("comment comments commentlist".split())
-LAYOUT = frozenset("has have with without no not non layout template open opened closed collapsed expanded enabled disabled".split())
 HOLDERS = frozenset("div section ul ol dl table fieldset details figure center nav aside header footer".split())
 PLACES = frozenset(
-    "area bar block bottom box button buttons center col column container div element footer form global google group header holder inner item items js left link links list "
-    "main mobile desktop outer page panel post posts primary right row section secondary site slot thread top unit wrap wrapper zone".split()
+    "area article bar block blog body bottom box button buttons center col column container div element entry footer form global google group header holder inner item items js left "
+    "link links list main mobile desktop outer page panel post posts primary right row section secondary site slot thread top unit wp wrapper wrap zone".split()
 )
+#: An opening tag ends an open element of the first kind unless one of the second is nearer.
+IMPLIED = {
+    "li": (("li",), ("ul", "ol", "menu", "dir")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "tr": (("tr", "td", "th"), ("table",)), "td": (("td", "th"), ("tr", "table")),
+    "th": (("td", "th"), ("tr", "table")), "option": (("option",), ()),
+}
 
 _MARKS = frozenset(MARKS)
 _RAW = "|".join(RAW)
@@ -59,141 +68,205 @@ _WORD = re.compile(r"\w")
 
 def _says(name: str, words: list[str], tag: str) -> bool:
     """Whether the words of one class, id or role say that an element of that tag is no article text."""
-    if tag in MAIN:
-        return any(w in COMMENT for w in words) and not any(w in LAYOUT for w in words)
-    if name == "role":
+    if name == "role" and tag not in MAIN:
         return any(w in _MARKS for w in words)
-    if name == "id":
-        # ids of text are made of its words, so one with any word of another kind says nothing
-        return tag in HOLDERS and any(w in _MARKS for w in words) and all(w in _MARKS or w in PLACES or w.isdigit() for w in words)
-    return any(w in _MARKS for w in words) and not any(w in LAYOUT for w in words) and not {"content", "sidebar"} <= set(words)
+    if tag in MAIN:
+        return any(w in COMMENT for w in words) and not any(w in ("has", "no", "with", "without") for w in words)
+    if name == "id" and tag not in HOLDERS:
+        return False
+    # a mark among words of other kinds tells of a layout, a state or a subject
+    return any(w in _MARKS for w in words) and all(w in _MARKS or w in PLACES or w.isdigit() for w in words)
 
 
-def _marked(tag: str, more: str) -> bool:
+def _marked(tag: str, more: str) -> int:
+    """0, 1 for an element whose class, id or role marks it as no article text, 2 for a hidden one."""
     if not more or more.isspace():
-        return False
+        return 0
     for name, a, b, c in _ATTR.findall(more):
         name, value = name.lower(), a or b or c
         if name == "hidden" or (name == "aria-hidden" and value.strip().lower() == "true") or (name == "style" and _NONE.search(value)):
-            return True
+            return 2
         if name in ("class", "id", "role"):
             for own in value.lower().split():
-                if (name == "class" and own == "hidden") or _says(name, [w for w in _SPLIT.split(own) if w], tag):
-                    return True
-    return False
-
-
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
-    """(text, characters outside links, inside an article) for each block of the page, in order.
-    Signs alone, as between links, don't count as characters outside them. What can't be article text is left out, and WINDOW empty lines stand in its place, so that no
-    window reaches across it."""
-    lines: list[tuple[str, int, bool]] = []
-    parts: list[str] = []
-    plain = main = depth = 0
-    linked = links = words = False
-    skip, nested = "", 0
-
-    def close():
-        nonlocal plain, links, words
-        if parts:
-            text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
-            if text:
-                lines.append((text, 0 if links and not words else plain, main > 0))
-            parts.clear()
-        plain, links, words = 0, False, False
-
-    def add(own: str):
-        nonlocal plain, links, words
-        parts.append(own)
-        if linked:
-            links = True
+                if name == "class" and own == "hidden":
+                    return 2
+                if _says(name, [w for w in _SPLIT.split(own) if w], tag):
+                    return 1
+    return 0
+
+
+class _Blocks:
+    """The blocks of a page with where they stand: which left-out elements hold them, and whether an
+    article does. Tags that are never closed end as their successors imply."""
+
+    def __init__(self, page: str):
+        #: text, characters outside links (0 for links and signs alone), article (0 none, 1 inside a left-out element, 2 else), holders
+        self.blocks: list[tuple[str, int, int, tuple[int, ...]]] = []
+        self.parts: list[str] = []
+        self.plain, self.links, self.words, self.linked = 0, False, False, False
+        self.stack: list[tuple[str, int, bool]] = []  # tag, holder or -1, article
+        self.wrappers: list[bool] = []  # of each holder: may it turn out to be text
+        self.dropped = 0  # open inline elements whose text goes
+        self.article, self.holders = 0, ()
+        at = 0
+        for m in _TOKEN.finditer(page):
+            if m.start() > at:
+                self.add(page[at : m.start()])
+            at = m.end()
+            tag = (m["tag"] or "").lower()
+            if not tag:
+                if m["raw"]:
+                    self.parts.append(" ")
+            elif m["end"]:
+                self.ends(tag)
+            else:
+                self.starts(tag, m["more"])
+        self.add(page[at:])
+        self.close()
+
+    def add(self, own: str) -> None:
+        if self.dropped or not own:
+            return
+        self.parts.append(own)
+        if self.linked:
+            self.links = True
         else:
-            plain += len(own.strip())
-            words = words or bool(_WORD.search(html.unescape(own)))
-
-    def gap():
-        close()
-        if lines and lines[-1][0]:
-            lines.extend([("", 0, False)] * WINDOW)
-
-    at = 0
-    for m in _TOKEN.finditer(page):
-        if not skip and m.start() > at:
-            add(page[at : m.start()])
-        at = m.end()
-        tag = (m["tag"] or "").lower()
-        if not tag:
-            if m["raw"] and not skip:
-                parts.append(" ")
-            continue
-        ends, more = bool(m["end"]), m["more"]
-        if skip:
-            if tag == skip:
-                nested += -1 if ends else 1
-                if skip in ("p", "li") and not ends:
-                    nested = 1 if _marked(tag, more) else 0
-                if nested <= 0:
-                    skip = ""
-                    if not ends:
-                        continue
-            elif not ends and tag in MAIN and not _marked("div", more) and skip not in ("p", "li"):
-                skip = ""
-            elif skip in ("p", "li") and tag in BLOCKS and (ends or skip == "p"):
-                skip = ""
-            if skip or (ends and tag == skip):
-                continue
-            if ends and tag not in BLOCKS:
-                continue
-        if not ends and not more.rstrip().endswith("/") and tag not in ("body", "html"):
-            apart = tag in SKIPPED and not (tag == "header" and main)
-            if apart or (_marked(tag, more) and tag not in ("br", "img", "hr", "input", "meta", "link", "wbr", "source")):
-                gap()
-                skip, nested = tag, 1
-                continue
-        if tag in MAIN:
-            gap()
-            main = max(0, main + (-1 if ends else 1))
-        elif tag in BLOCKS:
-            close()
-        elif tag == "br":
-            parts.append(" ")
+            self.plain += len(own.strip())
+            self.words = self.words or bool(_WORD.search(html.unescape(own)))
+
+    def close(self) -> None:
+        if self.parts:
+            text = _SPACE.sub(" ", html.unescape("".join(self.parts))).strip()
+            if text:
+                self.blocks.append((text, 0 if self.links and not self.words else self.plain, self.article, self.holders))
+            self.parts = []
+        self.plain, self.links, self.words = 0, False, False
+
+    def stands(self) -> None:
+        """Article and holders from the open elements: an article counts anew, whatever holds it."""
+        own = [(h, art) for _, h, art in self.stack if h >= 0 or art]
+        last = max((i for i, (_, art) in enumerate(own) if art), default=-1)
+        self.article = 0 if last < 0 else 1 if any(h >= 0 for h, _ in own[:last]) else 2
+        self.holders = tuple(h for h, _ in own[last + 1 :] if h >= 0)
+
+    def pop(self, n: int) -> None:
+        gone = self.stack[n:]
+        del self.stack[n:]
+        self.dropped -= sum(h == -2 for _, h, _ in gone)
+        if any(h >= 0 or art for _, h, art in gone):
+            self.stands()
+
+    def nearest(self, tags, stop) -> int:
+        for i in range(len(self.stack) - 1, -1, -1):
+            if self.stack[i][0] in tags:
+                return i
+            if self.stack[i][0] in stop or self.stack[i][2]:
+                return -1
+        return -1
+
+    def starts(self, tag: str, more: str) -> None:
+        if tag == "br":
+            self.add(" ")
+            return
+        block = tag in BLOCKS
+        if block:
+            self.close()
+            i = self.nearest(("p",), BLOCKS - {"p"})
+            if i >= 0:
+                self.pop(i)
+            if tag in IMPLIED:
+                i = self.nearest(*IMPLIED[tag])
+                if i >= 0:
+                    self.pop(i)
         elif tag == "a":
-            linked = not ends and not _TARGET.match(more)
-    if not skip and at < len(page):
-        add(page[at:])
-    close()
+            self.linked = not _TARGET.match(more)
+        if tag in VOID or more.rstrip().endswith("/") or tag in ("body", "html"):
+            return
+        mark = _marked(tag, more)
+        if not block:
+            if mark or tag == "button":
+                self.stack.append((tag, -2, False))
+                self.dropped += 1
+            return
+        apart = tag in SKIPPED and not (tag == "header" and self.article)
+        holder = -1
+        if apart or mark:
+            holder = len(self.wrappers)
+            self.wrappers.append(tag not in EDGES and tag != "aside" and mark < 2 and not any(w in COMMENT for w in _SPLIT.split(re.sub(r"\W+", "-", more.lower()))))
+            if tag in EDGES and not self.article:
+                self.blocks.append(("", 0, 0, ()))
+        self.stack.append((tag, holder, tag in MAIN and not mark))
+        if holder >= 0 or tag in MAIN:
+            self.stands()
+
+    def ends(self, tag: str) -> None:
+        if tag == "a":
+            self.linked = False
+        if tag in BLOCKS:
+            self.close()
+            i = self.nearest((tag,), ()) if tag not in MAIN else max((i for i, e in enumerate(self.stack) if e[0] == tag), default=-1)
+        elif self.dropped:
+            i = self.nearest((tag,), BLOCKS)
+        else:
+            return
+        if i >= 0:
+            self.pop(i)
+
+
+def lines_of(page: str) -> list[tuple[str, int]]:
+    """(text, weight) of the blocks that may be main text, in order; WINDOW empty lines stand where the
+    page's navigation, headers and footers stood.
+
+    Menus, forms, adverts, hidden and otherwise marked elements are left out, but for a marked wrapper
+    or form that holds nearly all text. Where an article holds words outside links, what stands outside
+    articles is left out too. The weight is the characters outside links, inside an article all."""
+    own = _Blocks(page)
+    held = [0] * len(own.wrappers)
+    rest = 0
+    for _, plain, _, holders in own.blocks:
+        rest += 0 if holders else plain
+        for h in holders:
+            held[h] += plain
+    text = {h for h, n in enumerate(held) if own.wrappers[h] and n >= WRAPPER_CHARS and rest < WRAPPER_REST * n}
+    free = [b for b in own.blocks if all(h in text for h in b[3])]
+    found = {art for _, plain, art, _ in free if art and plain}
+    if found:
+        free = [b for b in free if b[2] == max(found)]
+    lines: list[tuple[str, int]] = []
+    for t, plain, art, _ in free:
+        if t:
+            lines.append((t, len(t) if art else plain))
+        elif lines and lines[-1][0]:
+            lines += [("", 0)] * WINDOW
     return lines
 
 
-def main_text(page: str, window: int = WINDOW, surge: float = SURGE) -> str:
+def main_text(page: str, window: int = WINDOW, surge: float = SURGE, surge_chars: int = SURGE_CHARS) -> str:
     """The blocks of the page's main text, joined by line ends.
 
-    Blocks inside an article are the main text, links or not, if any of them has words outside links.
-    Else they and every other block with words outside links are, however short: only what lines_of
-    leaves out is known not to be text. Other blocks of links alone are main text between the first
-    surge and the last dive, and navigation before and behind. Each line's sum runs over its window
-    of lines; a region surges where the sum rises above surge times the page's greatest and dives
-    where it falls to nothing.
+    Each line's sum runs over its window of lines. A region of sums above zero is a surge if its
+    greatest reaches the lesser of surge times the page's greatest and surge_chars; it dives where the
+    sums fall to nothing. Every line between the first surge's and the last dive's is main text, however
+    short and links or not; lines of weaker regions and of links before and behind are not.
     """
     lines = lines_of(page)
-    if any(m and w for _, w, m in lines):
-        return "\n".join(t for t, _, m in lines if t and m)
-    weights = [w for _, w, _ in lines]
+    weights = [w for _, w in lines]
     sums = [sum(weights[i : i + window]) for i in range(len(lines))]
-    least = surge * max(sums, default=0)
-    regions: list[tuple[int, int, int]] = []
-    start, best = None, 0
+    least = min(surge * max(sums, default=0), surge_chars)
+    first = last = None
+    start = peak = 0
     for i, s in enumerate([*sums, 0]):
-        if s and start is None:
-            start, best = i, s
-        elif s:
-            best = max(best, s)
-        elif start is not None:
-            regions.append((start, i, best))
-            start = None
-    text = [i for a, b, best in regions if best >= least for i in range(a, b) if weights[i]]
-    first, last = (text[0], text[-1]) if text else (0, -1)
-    return "\n".join(t for i, (t, w, m) in enumerate(lines) if t and (m or w or first <= i <= last))
+        if s:
+            peak = max(peak, s)
+            continue
+        if peak and peak >= least:
+            first = start if first is None else first
+            last = i
+        start, peak = i + 1, 0
+    if first is None:
+        return ""
+    text = [i for i in range(first, last) if weights[i]]
+    return "\n".join(t for t, _ in lines[text[0] : text[-1] + 1] if t)
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -91,3 +91,36 @@ def test_table_edges(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as text", "2 as n_chars")
     assert sorted(map(str, map(tuple, H.extract_text(df).collect()))) == sorted(map(str, [(1, "u", "", 0), (1, "u", "", 0), (None, None, "x", 1), (2, "v", "", 0)]))
     assert H.extract_text(df.where("false")).count() == 0
+
+
+def test_article_keeps_link_blocks_and_wrappers_say_nothing():
+    assert H.main_text("<article><p>Hello world text</p><p><a>Read the source</a></p></article>") == "Hello world text\nRead the source"
+    for own in ("div class='layout has-sidebar'", "div class='post no-comments'", "article class='post-with-sidebar'", "div class='notice-of-death'", "section id='search-engine-history'"):
+        assert H.main_text(f"<{own}><p>abc</p></{own.split()[0]}>") == "abc", own
+
+
+def test_wrappers_that_hold_nearly_all_text_stay():
+    story = "<p>a sentence of the story that is long</p>" * 12
+    want = "\n".join(["a sentence of the story that is long"] * 12)
+    for own in ("form id=aspnetForm", "div class=widget", "div id=sidebar"):
+        assert H.main_text(f"<{own}><div class=ad>Buy</div>{story}</{own.split()[0]}>") == want, own
+    assert H.main_text(f"<p>hi</p><div class=comments>{story}</div>") == "hi"
+    assert H.main_text(f"<p>hi</p><footer>{story}</footer>") == "hi"
+
+
+def test_distribution_decides_without_article():
+    story = ["A sentence of the story, long enough to count for some."] * 4
+    body = "".join(f"<div>{t}</div>" for t in story)
+    links = "<div><a href=/>Home</a></div>" * 4
+    # what is short and lies before the first surge or behind the last dive goes; between them all stays
+    assert H.main_text(f"<div>Log in</div>{links}{body}{links}<div>Copyright</div>") == "\n".join(story)
+    assert H.main_text(f"{body}{links}<div>ok.</div>{links}{body}") == "\n".join(story + ["Home"] * 4 + ["ok."] + ["Home"] * 4 + story)
+    assert H.main_text(f"<div>Skip</div><header>h</header><h1>T</h1>{body}<footer>f</footer><div>imprint</div>") == "\n".join(["T", *story])
+    assert H.main_text("<div>short</div>") == "short"
+
+
+def test_unclosed_elements():
+    assert H.main_text("<nav><ul><li><a>x</a><article><p>a<p>b<ul><li>c<li class=ad>d<li>e</ul></article>") == "a\nb\nc\ne"
+    assert H.main_text("<table><tr><td>a<td>b<tr><td>c</table><p class=ad>x<p>d") == "a\nb\nc\nd"
+    assert H.main_text("<p>one <span class=ad>buy <b>now</b></span>two</p>") == "one two"
+    assert H.main_text("</div></p><p>a</article></div>b") == "a\nb"
