@@ -58,3 +58,30 @@ def test_without_labels_everything_has_the_base_rate(spark, edge_docs):
     for y in ([], [(1, 0), (2, 0)], [(None, 1), (3, None)]):
         machine = toxicity.train(edge_docs, spark.createDataFrame(y, "doc_id long, toxic int"))
         assert {r["predicted"] for r in toxicity.score(edge_docs, machine).collect()} == {0}
+
+
+def test_scores_are_sums_over_all_pairs_of_terms(spark):
+    docs, labels, _ = corpus(spark)
+    machine = toxicity.train(docs, labels)
+    assert len(machine.at) > 2 and np.abs(machine.v).max() > 0.1
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for r in toxicity.score(docs, machine).collect():
+        own = [machine.at[t] for w in set(texts[r["doc_id"]].split()) for t in set(toxicity.word_terms(w)) if t in machine.at]
+        own = sorted(set(own))
+        z = machine.w0 + sum(machine.w[i] for i in own) + sum(machine.v[i] @ machine.v[j] for k, i in enumerate(own) for j in own[k + 1 :])
+        assert abs(r["score"] - 1 / (1 + np.exp(-z))) < 1e-9
+
+
+def test_any_bucket_may_become_live(spark):
+    """A term of one row in two, and a term of a few rows that are all toxic, are both found."""
+    docs = [(i, ("common " if i % 2 else "") + ("rareword " if i % 40 == 1 else "") + f"filler{i}") for i in range(400)]
+    labels = [(i, int(i % 40 == 1)) for i in range(400)]
+    machine = toxicity.train(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert toxicity.word_terms("rareword")[0] in machine.at
+
+
+def test_repeated_labels_and_other_columns(spark):
+    docs, labels, _ = corpus(spark, 200)
+    again = labels.union(labels).union(labels.selectExpr("doc_id", "0")).selectExpr("*", "'x' as text", "1 as y", "2 as own")
+    a, b = toxicity.train(docs, labels), toxicity.train(docs.union(docs).selectExpr("*", "7 as y", "8 as toxic"), again)
+    assert a.at == b.at and np.array_equal(a.w, b.w)
