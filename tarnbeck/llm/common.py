@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from ..storage import discard, materialize, shared_dir  # noqa: F401  (for the operators)
 
 
+#: Nodes of more than 2 / HUBS of all edges (and of a thousand) are broadcast.
+HUBS = 400
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of undirected edges (src long, dst long): rows (node, component),
     component being the smallest node reachable. Nodes without edges don't appear.
@@ -23,13 +27,16 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         edges.where("src <> dst").select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct(),
         "edges",
     )
-    last = None
+    last, total = None, cur.count()
     for _ in range(max_rounds):
         both = cur.select("u", "v").union(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (
-            both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        )
+        least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n")), "least")
+        # a hub's edges would meet in one task; hubs are broadcast instead, HUBS of them at most
+        many = F.col("n") > max(1000, 2 * total // HUBS)
+        told = both.join(F.broadcast(least.where(many).select("u", "m")), "u", "left")
+        rest = told.where("m is null").select("u", "v").join(least.where(~many).select("u", "m"), "u")
+        both = told.where("m is not null").select("u", "v", "m").unionByName(rest.select("u", "v", "m"))
+        large = both.where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
             large.join(low, "u")
@@ -41,10 +48,11 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         nxt = materialize(small, "edges")
         state = nxt.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         discard(cur)
+        discard(least)
         cur = nxt
         if state == last:
             break
-        last = state
+        last, total = state, state[0]
     else:
         raise RuntimeError("connected components did not settle")
     return cur.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
@@ -67,12 +75,10 @@ def slices(batches, text: str, most_bytes: int = 8 << 20):
             yield batch.slice(start, n - start)
 
 
-def block_partners(own, residents, guests=None):
-    """array<struct<i,j>> of the block pairs that a row of block own takes part in. Residents' blocks
-    are 0 to residents - 1 and meet each other (i <= j) and the guests' blocks, which follow."""
-    last = residents - 1 if guests is None else F.when(own < residents, residents + guests - 1).otherwise(residents - 1)
+def block_partners(own, blocks):
+    """array<struct<i,j>> of the pairs i <= j of blocks that a row of block own takes part in."""
     return F.transform(
-        F.sequence(F.lit(0), last.cast("int")),
+        F.sequence(F.lit(0), (blocks - 1).cast("int")),
         lambda other: F.struct(F.least(own, other).alias("i"), F.greatest(own, other).alias("j")),
     )
 

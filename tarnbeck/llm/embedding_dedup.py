@@ -10,12 +10,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import block_partners, components, discard, forest, materialize
+from .common import block_partners, components, discard, forest, materialize, runs
 
-#: The centroids are fitted on about so many vectors at most; a cell is meant for CELL vectors.
-FIT_ROWS, CELL, ROUNDS, MOST_CELLS = 20_000, 4_000, 6, 1_024
-#: Vectors of one side of a block product.
-BLOCK = 1_024
+#: A cell is meant for CELL vectors and split at once into MOST_CELLS at most, on a sample of about
+#: FIT_ROWS vectors of it at most, up to LEVELS times over.
+CELL, MOST_CELLS, FIT_ROWS, LEVELS, ROUNDS = 2_048, 64, 8_192, 8, 6
+#: A cell stays whole unless splitting it keeps to so many copies of a vector and that share of the products.
+MOST_COPIES, LEAST_GAIN = 2.5, 0.9
+#: Vectors of one side of a block product, and of a task that assigns cells.
+BLOCK = 4_096
 
 
 def fit_cells(x: np.ndarray, k: int, rounds: int = ROUNDS, seed: int = 3) -> np.ndarray:
@@ -36,20 +39,34 @@ def _matrix(col) -> np.ndarray:
     return col.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(col), -1)
 
 
-def cells_of(y: np.ndarray, c: np.ndarray | None, reach: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def cells_of(y: np.ndarray, c: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, cell, guest) of unit rows y: the nearest cell, and as a guest each cell whose border is
-    within reach."""
-    if c is None:
-        return np.arange(len(y)), np.zeros(len(y), np.int64), np.zeros(len(y), bool)
+    within reach, unless that cell's vectors are guests of this one."""
     s = y @ c.T
     home = s.argmax(1)
     apart = np.sqrt(np.maximum(0, 2 - 2 * (c @ c.T)))
     near = s[np.arange(len(y)), home][:, None] - s <= reach * apart[home] + 1e-9
+    # of two cells one visits the other: by turns, so that no cell gets all the guests
+    own, other = home[:, None], np.arange(len(c))[None, :]
+    near &= ((own + other) % 2 == 1) == (own < other)
     near[np.arange(len(y)), home] = True
     at, cell = np.nonzero(near)
     return at, cell, cell != home[at]
 
 
+def split_of(y: np.ndarray, k: int, reach: float) -> np.ndarray | None:
+    """Centroids of at most k cells for the unit rows y; fewer where more would copy too much, and None
+    where even two would."""
+    while k > 1:
+        c = fit_cells(y, k)
+        at, cell, guest = cells_of(y, c, reach)
+        residents, guests = (np.bincount(cell[g], minlength=len(c)).astype(float) for g in (~guest, guest))
+        if len(at) <= MOST_COPIES * len(y) and (residents * (residents + 2 * guests)).sum() <= LEAST_GAIN * len(y) ** 2:
+            return c
+        k //= 2
+    return None
+
+
 def near_vectors(
     vectors: DataFrame,
     id_col: str = "vec_id",
@@ -66,20 +83,24 @@ def near_vectors(
     Returns per row: vec_id, n_links (other vectors linked), component_id (smallest vec_id reachable
     by links, its own included), kept (vec_id = component_id).
 
-    Equal vectors of a label are first collapsed to one with a count. Each goes to its nearest
-    centroid's cell, and as a guest to every further cell behind whose border a linked vector may
-    live: if x is nearer to centroid c and y to d, and x, y are linked, then
-    x.(c - d) <= |x - y| |c - d| with |x - y| <= sqrt(2 - 2 threshold). So cells lose no link,
-    whatever sample they were fitted on. A cell of any size is dealt out in pairs of blocks, each one
-    task's matrix product, which returns a count for each vector and edges that span its links;
-    pairs are never listed. The work in a cell still grows with its square.
+    Equal vectors of a label are first collapsed to one with a count. A label's vectors are one cell;
+    a cell of more than cell vectors is split by spherical k-means, fitted on a bounded sample of it, and
+    its parts likewise, so cells grow in number with the input and not in size. Each vector goes to its
+    nearest centroid's cell. If x is nearer to centroid c and y to d, and x, y are linked, then
+    x.(c - d) <= |x - y| |c - d| with |x - y| <= sqrt(2 - 2 threshold): of any two cells, the vectors
+    of one that lie so near the border visit the other, so a linked pair meets once, at whatever
+    sample the cells were fitted. Two guests at the same level don't meet. Where vectors have no such
+    structure, splitting would copy most of them to most cells; then the cell stays whole.
+
+    A cell of any size is dealt out in pairs of blocks, each one task's matrix product, which returns a
+    count for each vector and edges that span its links; pairs are never listed. The work in a cell
+    that can't be split grows with its square.
 
     Vectors that are null, empty, zero or hold null or non-finite components, and those of null label,
     link with nothing. Vectors of different lengths don't link. Repeated rows are vectors of their
     own, linked with each other. A null id never is the smallest; a row whose component has no other
     id gets its own. Other columns are ignored. An empty table gives an empty result.
     """
-    spark = vectors.sparkSession
     reach = math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-6
     kind = vectors.schema[vec_col].dataType
     v = F.col("v") if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType) else F.col("v").cast("array<double>")
@@ -94,68 +115,89 @@ def near_vectors(
         .groupBy("key")
         .agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("n"), F.first("v").alias("v"), F.first("label").alias("label"))
     )
-    distinct = materialize(distinct, "distinct").withColumn("node", F.monotonically_increasing_id())
-    distinct = materialize(distinct, "distinct")
-    n = distinct.count()
-    dims = distinct.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("c")).orderBy(F.desc("c"), "d").first()
-    centroids: dict[int, np.ndarray] = {}
-    if dims:
-        rate = int(1_000_000 * min(1.0, fit_rows / n))
-        sample = distinct.where((F.size("v") == dims["d"]) & (F.pmod(F.xxhash64("node"), F.lit(1_000_000)) < rate))
-        got = sample.select("node", "v").toArrow().sort_by("node")
-        if got.num_rows:
-            x = _matrix(got.column("v").combine_chunks())
-            centroids[dims["d"]] = fit_cells(x / np.linalg.norm(x, axis=1, keepdims=True), min(MOST_CELLS, round(n / cell)))
-    shared = spark.sparkContext.broadcast(centroids)  # at most MOST_CELLS vectors
-
-    def assign(batches):
-        for whole in batches:
-            for start in range(0, whole.num_rows, 1024):
-                batch = whole.slice(start, 1024)
-                sizes = pa.compute.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False)
-                for d in np.unique(sizes):
-                    part = batch.filter(pa.array(sizes == d))
-                    y = _matrix(part.column(2))
-                    at, own, guest = cells_of(y / np.linalg.norm(y, axis=1, keepdims=True), shared.value.get(int(d)), reach)
-                    cols = [c.take(pa.array(at)) for c in part.columns]
-                    more = [pa.array(np.full(len(at), d), pa.int32()), pa.array(own, pa.int32()), pa.array(guest, pa.bool_())]
-                    yield pa.RecordBatch.from_arrays([*cols, *more], [*part.schema.names, "dim", "cell", "guest"])
-
-    own = distinct.select("node", "n", "v", "label")
-    placed = materialize(own.mapInArrow(assign, T.StructType([*own.schema.fields]).add("dim", T.IntegerType()).add("cell", T.IntegerType()).add("guest", T.BooleanType())), "placed")
-    by = ["label", "dim", "cell"]
-    sizes = placed.groupBy(*by).agg(
-        F.ceil(F.count_if(~F.col("guest")) / block).cast("int").alias("residents"),
-        F.ceil(F.count_if("guest") / block).cast("int").alias("guests"),
-    )
-    number = F.when(F.col("guest"), F.col("residents") + F.pmod(F.xxhash64("node"), F.col("guests"))).otherwise(F.pmod(F.xxhash64("node"), F.col("residents"))).cast("int")
-    dealt = placed.join(sizes.where("residents > 0"), by).withColumn("own", number)
-    dealt = dealt.withColumn("pair", F.explode(block_partners(F.col("own"), F.col("residents"), F.col("guests"))))
+    dim = F.size("v")
+    home = (F.xxhash64("label", dim).alias("g1"), F.xxhash64(dim, "label").alias("g2"))
+    distinct = materialize(distinct.select("key", "vec_id", "n", "v", *home, F.monotonically_increasing_id().alias("node")), "distinct")
+    by = ["g1", "g2", "path"]
+    vector = distinct.schema["v"].dataType.simpleString()
+    placed = f"g1 long, g2 long, path long, mask int, node long, n long, v {vector}"
+    open_, done = distinct.select("g1", "g2", F.lit(1).cast("long").alias("path"), F.lit(0).alias("mask"), "node", "n", "v"), []
+    written: list[DataFrame] = []
+
+    def fit(table: pa.Table) -> pa.Table:
+        x = _matrix(table.column("v").combine_chunks())
+        k = int(min(MOST_CELLS, -(-table.column("size")[0].as_py() // cell)))
+        c = split_of(x / np.linalg.norm(x, axis=1, keepdims=True), k, reach)
+        first = table.slice(0, 1 if c is not None else 0)
+        return pa.table({**{g: first.column(g) for g in by}, "centroids": pa.array([c.ravel().tolist()] if c is not None else [], pa.list_(pa.float64()))})
+
+    def assign(level: int):
+        def run(batches):
+            for table, at in runs(batches, [*by, "salt"]):
+                for lo, hi in zip(at[:-1], at[1:], strict=True):
+                    part = table.slice(lo, hi - lo)
+                    is_cell = part.column("centroids").is_valid().to_numpy()
+                    own = part.filter(pa.array(~is_cell))
+                    c = part.filter(pa.array(is_cell)).column("centroids")
+                    x = _matrix(own.column("v").combine_chunks()) if own.num_rows else None
+                    if x is None:
+                        continue
+                    c = np.array(c[0].as_py()).reshape(-1, x.shape[1])
+                    row, number, guest = cells_of(x / np.linalg.norm(x, axis=1, keepdims=True), c, reach)
+                    cols = {k: own.column(k).take(pa.array(row)).combine_chunks() for k in ("g1", "g2", "path", "mask", "node", "n", "v")}
+                    cols["path"] = pa.array(cols["path"].to_numpy() * MOST_CELLS + number)
+                    cols["mask"] = pa.array((cols["mask"].to_numpy() | (guest.astype(np.int32) << level)).astype(np.int32))
+                    yield from pa.table(cols).to_batches()
+
+        return run
+
+    for level in range(LEVELS):
+        sizes = open_.groupBy(*by).agg(F.count("*").alias("size"))
+        large = materialize(sizes.where(F.col("size") > cell), "large")
+        if large.isEmpty():
+            discard(large)
+            break
+        share = F.least(F.lit(float(fit_rows)), F.greatest(F.lit(1024.0), F.col("size") / cell * 128)) / F.col("size")
+        sample = open_.join(large, by).where(F.pmod(F.xxhash64("node", F.lit(level)), F.lit(1_000_000)) < share * 1_000_000)
+        centroids = materialize(sample.select(*by, "size", "v").groupBy(*by).applyInArrow(fit, "g1 long, g2 long, path long, centroids array<double>"), "centroids")
+        cells = centroids.join(large, by).withColumn("salts", F.ceil(F.col("size") / block).cast("int"))
+        # rows meet the centroids of their cell in salted parts, the centroids first in each
+        tagged = open_.join(cells.select(*by, "salts"), by, "left")
+        done.append(tagged.where("salts is null").drop("salts"))
+        rows_ = tagged.where("salts is not null").withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int")).withColumn("centroids", F.lit(None).cast("array<double>"))
+        heads = cells.select(*by, F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "centroids")
+        both = rows_.drop("salts").unionByName(heads, allowMissingColumns=True).repartition(*by, "salt").sortWithinPartitions(*by, "salt")
+        open_ = materialize(both.mapInArrow(assign(level), placed), "placed")
+        written += [large, centroids, open_]
+    members = open_
+    for part in done:
+        members = members.unionByName(part)
+    blocks = members.groupBy(*by).agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")).where("blocks > 1")
+    dealt = members.join(blocks, by, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("pair", F.explode(block_partners(F.col("own"), F.col("blocks"))))
 
     def product(table: pa.Table) -> pa.Table:
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        blocks = table.column("own").to_numpy()
+        blocks, mask = table.column("own").to_numpy(), table.column("mask").to_numpy()
         node, weight = table.column("node").to_numpy(), table.column("n").to_numpy()
         x = _matrix(table.column("v").combine_chunks())
         norm = np.sqrt((x * x).sum(1))
-        ra, rb = np.nonzero(blocks == i)[0], np.nonzero(blocks == j)[0]
         counts = np.zeros(len(node), np.int64)
         edges = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-        for at in range(0, len(ra), 512):
-            part = ra[at : at + 512]
-            near = (x[part] @ x[rb].T) / (norm[part][:, None] * norm[rb][None, :]) >= threshold
-            if i == j:
-                near &= part[:, None] != rb[None, :]
-            p, q = np.nonzero(near)
-            if not len(p):
-                continue
-            if table.column("guest")[int(rb[0])].as_py():
-                counts[rb] += weight[part] @ near  # residents count these links as guests of the other cell
-            else:
+        for m in np.unique(mask):
+            ra, rb = np.nonzero((blocks == i) & (mask == m))[0], np.nonzero((blocks == j) & (mask & m == 0))[0]
+            for at in range(0, len(ra) if len(rb) else 0, 512):
+                part = ra[at : at + 512]
+                near = (x[part] @ x[rb].T) / (norm[part][:, None] * norm[rb][None, :]) >= threshold
+                if i == j:
+                    near &= part[:, None] != rb[None, :]
+                p, q = np.nonzero(near)
+                if not len(p):
+                    continue
                 counts[part] += near @ weight[rb]
                 if i != j:
                     counts[rb] += weight[part] @ near
-            edges.append(forest(part[p], rb[q]))
+                edges.append(forest(part[p], rb[q]))
         a, b = (np.concatenate(z) for z in zip(*edges, strict=True))
         own = np.nonzero(counts)[0]
         return pa.table(
@@ -166,16 +208,19 @@ def near_vectors(
             }
         )
 
-    work = dealt.select("node", "n", "v", "guest", "own", *by, "pair.i", "pair.j")
+    work = dealt.select("node", "n", "v", "mask", "own", *by, "pair.i", "pair.j")
     found = materialize(work.groupBy(*by, "i", "j").applyInArrow(product, "node long, links long, root long"), "links")
-    discard(placed)
+    for table in written:
+        discard(table)
     links = found.where("root is null").groupBy("node").agg(F.sum("links").alias("links"))
     reached = components(found.where("root is not null").select(F.col("node").alias("src"), F.col("root").alias("dst")))
     parts = distinct.select("key", "node", "n", "vec_id").join(links, "node", "left").join(reached, "node", "left")
     parts = materialize(parts.withColumn("component", F.coalesce("component", "node")), "parts")
     least = parts.groupBy("component").agg(F.min("vec_id").alias("component_id"))
     classes = parts.join(least, "component").select("key", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id")
-    return rows.select("vec_id", "key").join(classes, "key", "left").select(
+    linked = rows.where("key is not null").select("vec_id", "key").join(classes, "key", "left")
+    alone = rows.where("key is null").select("vec_id", F.lit(None).cast("long").alias("n_links"), F.lit(None).cast("long").alias("component_id"))
+    return linked.select("vec_id", "n_links", "component_id").unionByName(alone).select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component_id", "vec_id").alias("component_id"),
