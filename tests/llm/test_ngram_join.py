@@ -74,7 +74,7 @@ def near_copies(n, seed):
 def test_large_group_in_small_blocks(spark):
     own = near_copies(250, 4)
     df = spark.createDataFrame(own, "doc_id long, text string").repartition(4)
-    found, want = got(df, block=16, verify_block=16, thin=4), brute(own)
+    found, want = got(df, block=16, verify_block=16), brute(own)
     assert found == want
     assert got(df) == want
 
@@ -90,9 +90,36 @@ def test_empty_table(no_docs):
     assert N.jaccard_join(no_docs).count() == 0 and N.keep_one(no_docs).count() == 0
 
 
-def test_depth_reaches_recall():
-    d = N.depth_for(0.8)
-    assert 1 - (1 - 0.8**d) ** N.TREES >= N.RECALL > 1 - (1 - 0.8 ** (d + 1)) ** N.TREES
+def test_shortest_prefix_reaches_recall():
+    assert N.meeting(0.8, N.SHORTEST) > 0.9999 > N.meeting(0.8, N.LABELS)
+
+
+def test_tries_keep_whatever_meets(spark):
+    """Signatures that share a prefix stay, whatever task they are sorted to; most others go."""
+    rng = np.random.default_rng(3)
+    own = rng.integers(0, 1 << 16, (3000, N.TREES * N.LABELS)).astype(np.uint16)
+    own[2000:, : 6 * N.LABELS] = own[rng.integers(0, 40, 1000), : 6 * N.LABELS]
+    df = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate(own)], "node long, labels binary").repartition(5)
+    got = {(r["tree"], r["node"]): bytes(r["signature"]) for r in N.tries(df, N.Sketcher(), N.SHORTEST).collect()}
+    want = defaultdict(list)
+    for i, x in enumerate(own.reshape(-1, N.TREES, N.LABELS)):
+        for t in range(N.TREES):
+            want[t, x[t, : N.SHORTEST].tobytes()].append((t, i))
+    must = {k for v in want.values() if len(v) > 1 for k in v}
+    assert must <= set(got) and len(got) < len(must) + 2 * spark.sparkContext.defaultParallelism + 10
+    assert all(s == own[i].reshape(N.TREES, N.LABELS)[t].astype(">u2").tobytes() for (t, i), s in got.items())
+
+
+def test_prefixes_shorten_until_the_recall_is_met(spark, monkeypatch):
+    depths = []
+    real = N.meeting
+    monkeypatch.setattr(N, "meeting", lambda s, d, t: depths.append(d) or real(s, d, t))
+    df = spark.createDataFrame(near_copies(250, 4), "doc_id long, text string")
+    N.jaccard_join(df, recall=0.5).count()
+    assert set(depths) == {N.LABELS}
+    depths.clear()
+    N.jaccard_join(df, recall=1.0).count()
+    assert set(depths) == set(range(N.SHORTEST, N.LABELS + 1))
 
 
 def test_labels_agree_as_sets_do():
