@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import base64
 import hashlib
 import json
 import re
@@ -19,8 +18,9 @@ from .byte_bpe import PRE_TOKEN
 from .common import materialize, slices
 from .token_counts import byte_letters
 
-#: Tokens of a sequence, bins open at once, and tokens that one packing task takes.
-LENGTH, OPEN_BINS, TASK_TOKENS = 2048, 16_384, 24_000_000
+#: Tokens of a sequence, bins open at once, pieces that are looked at before they are placed, and tokens
+#: that one packing task takes.
+LENGTH, OPEN_BINS, LOOKAHEAD, TASK_TOKENS = 2048, 512, 2_000, 24_000_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -103,7 +103,9 @@ class BestFit:
 
 
 def pieces(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, keep_ids: bool = False) -> DataFrame:
-    """Tokens of every whole text and id 0 behind them, cut to pieces of at most length tokens."""
+    """Tokens of every whole text and id 0 behind them, cut to pieces of at most length tokens. A null or
+    empty text is the one piece of id 0; repeated rows and null ids are cut each on its own; other columns
+    are ignored; an empty table gives no piece."""
     with open(vocab_path, encoding="utf-8") as f:
         spec = f.read()
     key = hashlib.sha256(spec.encode()).hexdigest()
@@ -128,25 +130,30 @@ def pieces(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: s
     return own.mapInArrow(run, PIECES + ", ids array<int>" * keep_ids)
 
 
-def pack(cuts: DataFrame, length: int = LENGTH, open_bins: int = OPEN_BINS, task_tokens: int = TASK_TOKENS) -> DataFrame:
+def pack(cuts: DataFrame, length: int = LENGTH, open_bins: int = OPEN_BINS, lookahead: int = LOOKAHEAD, task_tokens: int = TASK_TOKENS) -> DataFrame:
     """Give every piece a sequence_id and an offset in it.
 
     Pieces are dealt by hash to tasks of about task_tokens each, so that tasks grow in number with
-    the input and not in size; a task sorts its pieces by falling length (a total order, so a rerun
-    after a lost executor repeats its result) and packs them online. A piece as long as a sequence
-    fills one by itself.
+    the input and not in size. They come in the order of a hash (a total order, so a rerun after a lost
+    executor repeats its result), lookahead at a time, the longest of those first, and are placed
+    online: open_bins sequences stay open from one such run to the next, and the fullest closes when
+    another is needed. A task holds no more than that. A piece as long as a sequence fills one by itself.
     """
     total = cuts.agg(F.sum("length")).first()[0] or 0
     tasks = max(1, round(total / task_tokens))
 
     def run(batches):
         bins, base = BestFit(length, open_bins), TaskContext.get().partitionId() << 40
-        for part in batches:
-            at = [bins.place(n) for n in part.column(part.schema.get_field_index("length")).to_pylist()]
-            more = [pa.array([base + b for b, _ in at], pa.int64()), pa.array([o for _, o in at], pa.int64())]
-            yield pa.RecordBatch.from_arrays([*part.columns, *more], [*part.schema.names, "sequence_id", "offset"])
-
-    order = [F.desc("length"), F.xxhash64("doc_id", "piece"), "doc_id", "piece", "ids_crc32"]
+        for batch in batches:
+            for start in range(0, batch.num_rows, lookahead):
+                part = batch.slice(start, lookahead)
+                sizes = part.column(part.schema.get_field_index("length")).to_numpy()
+                number, offset = np.zeros((2, len(sizes)), np.int64)
+                for i in np.argsort(-sizes, kind="stable").tolist():
+                    number[i], offset[i] = bins.place(int(sizes[i]))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(base + number), pa.array(offset)], [*part.schema.names, "sequence_id", "offset"])
+
+    order = [F.xxhash64("doc_id", "piece"), "doc_id", "piece", "ids_crc32"]
     schema = cuts.schema.simpleString()[len("struct<") : -1] + ",sequence_id:bigint,offset:bigint"
     return cuts.repartition(tasks, "doc_id", "piece", "ids_crc32").sortWithinPartitions(*order).mapInArrow(run, schema)
 
