@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .license_scan import NEAR, WORD, template_rows
+from .license_scan import GRAM, NEAR, WORD, template_rows
 
 EXACT_DEDUP = r"""
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
@@ -41,21 +41,22 @@ SELECT doc_id, coalesce(n_links, 0) AS n_links, class_id, doc_id = class_id AS k
 FROM documents JOIN c ON c.a = doc_id LEFT JOIN k ON k.a = doc_id
 """
 
-_GRAMS = ", ".join("('{}', '{}', {}, {}, {}, {}, {}, '{}', {})".format(*r) for r in template_rows())
+_GRAMS = ", ".join("('{}', {}, {}, {}, {}, {}, {}, '{}', {})".format(*r) for r in template_rows())
+_PER = ", ".join(f"any_value({c}) AS {c}" for c in ("k", "grams", "size", "need", "label", "base"))
 LICENSE_SCAN = f"""
-WITH t(w1, w2, template, slot, place, slots, need, label, base) AS (VALUES {_GRAMS}),
+WITH t(gram, template, k, place, grams, size, need, label, base) AS (VALUES {_GRAMS}),
 d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w FROM documents),
-g AS (SELECT doc_id, i - 1 AS pos, w[i] AS w1, w[i + 1] AS w2 FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM d)),
-v AS (SELECT doc_id, template, pos - place AS diagonal, count(DISTINCT slot) AS votes, list(DISTINCT slot) AS own, any_value(slots) AS slots, any_value(need) AS need, any_value(label) AS label, any_value(base) AS base
-      FROM g JOIN t USING (w1, w2) GROUP BY doc_id, template, pos - place),
+p AS (SELECT doc_id, i - 1 AS pos, w[i : i + 1] AS two, w[i : i + {GRAM - 1}] AS four FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM d)),
+g AS (SELECT doc_id, pos, array_to_string(two, ' ') AS gram, 2 AS k FROM p UNION ALL SELECT doc_id, pos, array_to_string(four, ' '), {GRAM} FROM p WHERE len(four) = {GRAM}),
+v AS (SELECT doc_id, template, pos - place AS diagonal, list(DISTINCT place) AS votes, {_PER} FROM g JOIN t USING (gram, k) GROUP BY doc_id, template, pos - place),
 b AS (SELECT *, diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) <= {NEAR} AS joins FROM v),
 x AS (SELECT *, sum(CASE WHEN joins THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM b),
-s AS (SELECT doc_id, template, span, len(list_distinct(flatten(list(own)))) AS got, count(*) FILTER (votes = slots) AS places, min(diagonal) FILTER (votes = slots) AS f, max(diagonal) FILTER (votes = slots) AS l,
-        any_value(slots) AS slots, any_value(label) AS label, any_value(base) AS base,
-        CASE WHEN any_value(base) THEN count(*) FILTER (votes = slots) > 0 ELSE len(list_distinct(flatten(list(own)))) >= any_value(need) END AS found
+c AS (SELECT doc_id, template, span, flatten(list(votes)) AS votes, count(*) FILTER (len(votes) = grams) AS places, min(diagonal) FILTER (len(votes) = grams) AS f, max(diagonal) FILTER (len(votes) = grams) AS l, {_PER}
       FROM x GROUP BY doc_id, template, span),
-a AS (SELECT doc_id, sum(places) FILTER (base) AS n_base, min(f) FILTER (base) AS f, max(l) FILTER (base) AS l, max(got / slots) FILTER (found) AS score,
-        list_sort(list(DISTINCT label) FILTER (base AND places > 0)) AS bl, list_sort(list(DISTINCT label) FILTER (found)) AS al FROM s GROUP BY doc_id)
+s AS (SELECT *, len(list_distinct(flatten(list_transform(votes, lambda a: range(a, a + k))))) AS covered FROM c),
+o AS (SELECT *, CASE WHEN base THEN places > 0 ELSE covered >= need END AS found FROM s),
+a AS (SELECT doc_id, sum(places) FILTER (base) AS n_base, min(f) FILTER (base) AS f, max(l) FILTER (base) AS l, max(covered / size) FILTER (found) AS score,
+        list_sort(list(DISTINCT label) FILTER (base AND places > 0)) AS bl, list_sort(list(DISTINCT label) FILTER (found)) AS al FROM o GROUP BY doc_id)
 SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, f AS first_word, l AS last_word, coalesce(array_to_string(bl, ','), '') AS base_labels,
        coalesce(array_to_string(al, ','), '') AS labels, coalesce(score, 0.0)::DOUBLE AS score FROM d LEFT JOIN a USING (doc_id)
 """
