@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..storage import install
@@ -24,16 +23,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """A table that is read in fewer tasks than there are cores, as a small file is, is dealt to all of
+    them; a large one isn't shuffled."""
+    context = rows.sparkSession.sparkContext
+    cores = context.defaultParallelism
+    return rows.repartition(cores) if rows._jdf.queryExecution().toRdd().getNumPartitions() < cores else rows
+
+
+def vocabulary(name: str) -> str:
+    import public_tokenizers  # only here, so that the other queries do without it
+
+    return public_tokenizers.path(name)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join(table(spark, sf_dir, "documents"))
+    return jaccard_join(spread(table(spark, sf_dir, "documents")))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     return score(docs, train(docs, table(spark, sf_dir, "labels")))
 
 
@@ -46,23 +59,23 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return token_counts(spread(table(spark, sf_dir, "documents")), vocabulary("byte_bpe_50k.json"))
 
 
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract_text(table(spark, sf_dir, "pages"))
+    return extract_text(spread(table(spark, sf_dir, "pages")))
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return round_trip(table(spark, sf_dir, "pages"))
+    return round_trip(spread(table(spark, sf_dir, "pages")))
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return best_fit_packing(spread(table(spark, sf_dir, "documents")), vocabulary("byte_bpe_50k.json"))
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return encode_decode(spread(table(spark, sf_dir, "documents")), vocabulary("byte_bpe_50k.tiktoken"))
 
 
 QUERIES = {
