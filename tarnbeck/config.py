@@ -40,7 +40,6 @@ class EngineConfig:
     audio_chunk_window_sec: int = 30
     audio_chunk_overlap_sec: int = 5
     video_max_duration_sec: float = 7200
-    video_frame_sample_fps: float = 1
     video_allowed_codecs: tuple[str, ...] = ("h264", "hevc", "vp9", "vp8")
     video_max_resolution_px: int = 3840
     video_scene_threshold: float = 30.0

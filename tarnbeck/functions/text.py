@@ -76,9 +76,15 @@ def text_windows(text: Column, window: int, overlap: int) -> Column:
 
 
 def spans(n: Column, window: float, overlap: float) -> Column:
-    """array<struct<start,end>> over [0, n): windows window apart less overlap, cut at n, and the tail."""
+    """array<struct<start,end>> over [0, n): windows window apart less overlap, cut at n, and the tail.
+    An overlap of a window or more is none; without overlap there is no tail."""
+    overlap = overlap if overlap < window else type(overlap)(0)
     step = window - overlap
 
+    def plain(n: Column) -> Column:
+        zero, last = n - n, F.greatest(F.ceil(n / step).cast("int"), F.lit(1)) - 1
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.struct((zero + i * step).alias("start"), F.least(zero + i * step + window, n).alias("end")))
+
     def cut(n: Column) -> Column:
         zero = n - n  # of the type of n
         last = F.greatest(F.ceil((n - overlap) / step).cast("int"), F.lit(1)) - 1
@@ -86,4 +92,4 @@ def spans(n: Column, window: float, overlap: float) -> Column:
         tail = F.array(F.struct((n - overlap).alias("start"), n.alias("end")))
         return F.when(n <= overlap, F.array(F.struct(zero.alias("start"), n.alias("end")))).otherwise(F.concat(own, tail))
 
-    return let(n, cut)
+    return let(n, cut if overlap > 0 else plain)

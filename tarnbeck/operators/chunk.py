@@ -45,10 +45,11 @@ def text_pieces(content: Column, window: int = 1000, overlap: int = 100) -> Colu
     A substring is found by walking from a text's start, so windows are cut from blocks of BLOCK windows
     each: a very long text is walked once a block and not once a window.
     """
+    overlap = overlap if overlap < window else 0
     step = window - overlap
 
     def cut(whole: Column, n: Column) -> Column:
-        count = F.greatest(F.ceil((n - overlap) / step).cast("int"), F.lit(1))
+        count = F.greatest(F.ceil((n - max(overlap, 0)) / step).cast("int"), F.lit(1))
 
         def block(b: Column) -> Column:
             own = F.sequence(F.lit(0), F.least(F.lit(BLOCK), count - b * BLOCK) - 1)
@@ -56,6 +57,8 @@ def text_pieces(content: Column, window: int = 1000, overlap: int = 100) -> Colu
             return let(piece, lambda t: F.transform(own, lambda i: F.substring(t, i * step + 1, F.lit(window))))
 
         windows = F.flatten(F.transform(F.sequence(F.lit(0), F.ceil(count / BLOCK).cast("int") - 1), block))
+        if overlap <= 0:
+            return windows
         tail = F.array(F.substring(whole, n - overlap + 1, F.lit(overlap)))
         return F.when(n <= overlap, F.array(whole)).otherwise(F.concat(windows, tail))
 
@@ -105,6 +108,19 @@ def chunk_array(config: EngineConfig) -> Column:
     )
 
 
+def indexed(config: EngineConfig) -> Column:
+    """How many of a document's chunks get a vector where no model is given: counted in the document's
+    row, without a row for each chunk."""
+    m = F.col("modality")
+
+    def has(c: Column) -> Column:
+        said, shown = (F.length(F.coalesce(c[k], F.lit(""))) > 0 for k in ("text", "media_path"))
+        seen = shown if config.embedding_strategy == "single_fused_vector" else F.lit(False)
+        return F.when(m == "image", shown).when(m == "video", said | seen).otherwise(said)
+
+    return F.coalesce(F.size(F.filter(chunk_array(config), has)), F.lit(0))
+
+
 def chunks(docs: DataFrame, config: EngineConfig) -> DataFrame:
     """One row per chunk of the documents that no stage has stopped, with the document's key and facts.
     Narrow: windows, tiles and scenes are generated and transcripts sliced inside the document's row."""

@@ -20,9 +20,17 @@ def media_key(config: EngineConfig) -> Column:
     return F.when(path == "", F.lit("")).otherwise(key)
 
 
-def chunk_records(chunks: DataFrame) -> DataFrame:
-    """The audit record of every chunk, whether it gets a vector or not."""
-    return chunks.select("chunk_id", "doc_id", "modality", "text", "start_sec", "end_sec", "position", "metadata")
+def chunk_records(chunks: DataFrame, config: EngineConfig = EngineConfig()) -> DataFrame:
+    """The audit record of every chunk, whether it gets a vector or not, with where its media went."""
+    return chunks.select("chunk_id", "doc_id", "modality", "text", "start_sec", "end_sec", "position", "metadata", media_key(config).alias("processed_media_key"))
+
+
+def media_records(chunks: DataFrame, docs: DataFrame, config: EngineConfig) -> DataFrame:
+    """processed_media_key and content of the chunks whose media is their document's own file. The file's
+    bytes meet the chunks only here."""
+    own = chunks.select("doc_id", "chunk_id", "modality", "chunk_media_path").withColumn("processed_media_key", media_key(config))
+    files = docs.where(F.col("content").isNotNull()).select("doc_id", F.col("media_path").alias("chunk_media_path"), "content")
+    return own.join(files, ["doc_id", "chunk_media_path"]).select("processed_media_key", "content")
 
 
 def vector_records(chunks: DataFrame, config: EngineConfig) -> DataFrame:
@@ -41,12 +49,13 @@ def indexed_counts(chunks: DataFrame) -> DataFrame:
     return chunks.groupBy("doc_id").agg(F.count_if(F.size("vector") > 0).cast("int").alias("chunks_indexed"))
 
 
-def manifest(docs: DataFrame, counts: DataFrame, at: Column) -> DataFrame:
-    """One row per object: s3_key, doc_id, status, reason, chunks_indexed, timestamp."""
+def manifest(docs: DataFrame, counts: DataFrame | None, at: Column) -> DataFrame:
+    """One row per object: s3_key, doc_id, status, reason, chunks_indexed, timestamp. Without counts, docs
+    bring chunks_indexed along."""
     n = F.coalesce(F.col("chunks_indexed"), F.lit(0))
     done = F.when(n > 0, F.lit("success")).otherwise(F.lit("failed"))
     why = F.when(n > 0, F.lit("ok")).otherwise(F.lit("no_chunks_indexed"))
-    return docs.join(counts, "doc_id", "left").select(
+    return (docs if counts is None else docs.join(counts, "doc_id", "left")).select(
         F.col("source_key").alias("s3_key"),
         "doc_id",
         "modality",

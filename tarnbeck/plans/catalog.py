@@ -13,8 +13,10 @@ from ..operators import chunk, dedup, embed, index, metadata, privacy, quality,
 from ..operators.route import extension, modality
 from ..storage import materialize, shared_dir
 from ..streaming import arrivals
+from ..sources.media import media_documents
 from . import fixtures as fx
-from .ingest import ingest
+from . import stubs
+from .ingest import ingest, prepare
 
 C = EngineConfig()
 #: The hashes at hand are far apart, so near-duplicate queries take these distances.
@@ -236,10 +238,16 @@ def chunk_records_vs_vectors(spark, sf_dir):
     return kept.groupBy("source_key").agg(F.count("*").alias("records"), F.count_if(F.col("n") > 0).alias("vectors"))
 
 
-def _searchable(spark, sf_dir):
+def _kinds(spark, sf_dir):
     kind = F.element_at(F.array(*(F.lit(m) for m in ("text", "image", "audio", "video"))), (F.col("label") % 4 + 1).cast("int"))
-    v = fx.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("key"), F.col("embedding").alias("vector"), kind.alias("modality"))
-    return v, v.where("key = 0").first()["vector"]
+    return fx.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("key"), F.col("embedding").alias("vector"), kind.alias("modality"))
+
+
+def _searchable(spark, sf_dir):
+    v = _kinds(spark, sf_dir)
+    query = v.where("key = 0").first()
+    # without the query's row nothing is found
+    return (v, query["vector"]) if query and query["vector"] else (v.where("false"), [0.0])
 
 
 def topk_search(spark, sf_dir):
@@ -257,6 +265,34 @@ def topk_by_modality(spark, sf_dir):
     return search.top_k_by(v, q, 5).select("modality", "rank", "key", F.round("score", 6).alias("score"))
 
 
+M = EngineConfig(image_enable_captioning=True)
+
+
+def _media(spark, sf_dir):
+    return media_documents(fx.media_objects(spark, sf_dir), M, stubs.TOOLS)
+
+
+def media_parse(spark, sf_dir):
+    """Objects of all modalities parsed with stub tools: facts, texts, transcripts, scenes, keyframes, errors."""
+    docs = _media(spark, sf_dir)
+    frames = F.array_join(F.transform("frames", lambda f: F.coalesce(F.decode(f, "UTF-8"), F.lit("none"))), ";")
+    return docs.select(
+        "source_key", "modality", "status", "reason", "content_text", F.col("image.width").alias("width"), F.col("image.format").alias("format"), F.col("image.exif")["Make"].alias("make"),
+        F.coalesce("audio.duration_sec", "video.duration_sec").alias("duration_sec"), F.size("segments").alias("n_segments"), F.size("scenes").alias("n_scenes"), frames.alias("frames"),
+    )
+
+
+def media_prepare(spark, sf_dir):
+    """The same documents validated, normalised, with faces blurred and texts redacted: what is left of each file."""
+    docs = prepare(_media(spark, sf_dir), M, tools=stubs.TOOLS)
+    frames = F.array_join(F.transform("frames", lambda f: F.coalesce(F.decode(f, "UTF-8"), F.lit("none"))), ";")
+    return docs.select("source_key", "status", "reason", "content_text", "media_path", F.decode("content", "UTF-8").alias("content"), frames.alias("frames"), F.col("image.exif_stripped").alias("exif_stripped"))
+
+
+def media_manifest(spark, sf_dir):
+    return ingest(_media(spark, sf_dir), M, _at(), tools=stubs.TOOLS).manifest.select("s3_key", "status", "reason", "chunks_indexed")
+
+
 def _entries(spark, sf_dir):
     return ingest(fx.all_docs(spark, sf_dir, C), C, _at()).manifest
 
@@ -279,7 +315,7 @@ def quality_report(spark, sf_dir):
 
 
 def delete_by_modality(spark, sf_dir):
-    v, _ = _searchable(spark, sf_dir)
+    v = _kinds(spark, sf_dir)
     gone = spark.createDataFrame([("image",), ("video",)], "modality string")
     return index.delete_vectors(v, gone, "modality").groupBy("modality").agg(F.count("*").alias("left"), F.sum("key").alias("keys"))
 
@@ -305,6 +341,6 @@ QUERIES = {
         route_modality, unsupported_extension, clean_text, validate_text, pii_redact, pii_counts, chunk_text, chunk_stats, text_pipeline, html_pages_as_text,
         transcript_compose, audio_validate, video_validate, image_validate, audio_windows, audio_chunks, audio_redact_chunks, scene_merge, video_chunks, keyframe_prune,
         probe_parse, image_tiles, phash_bits, hamming_pairs, greedy_dedup, fuse_vectors, dual_vector_records, fused_vector_records, chunk_records_vs_vectors,
-        topk_search, topk_filtered, topk_by_modality, manifest, run_summary, quarantine_keys, quality_report, delete_by_modality, arrivals_by_day, ingest_stream_dedup,
+        topk_search, topk_filtered, topk_by_modality, media_parse, media_prepare, media_manifest, manifest, run_summary, quarantine_keys, quality_report, delete_by_modality, arrivals_by_day, ingest_stream_dedup,
     )
 }

@@ -72,6 +72,16 @@ def image_docs(spark, sf_dir, config):
     return _docs(rows.select(key.alias("source_key"), F.lit("").alias("content_text"), key.alias("media_path"), F.col("bytes").alias("media_bytes_len"), image.alias("image")), config)
 
 
+def media_objects(spark, sf_dir) -> DataFrame:
+    """Objects of all modalities whose bytes say what the tools of plans.stubs find in them."""
+    k = F.col("p_partkey")
+    kind = F.element_at(F.array(*(F.lit(x) for x in ("I", "A", "V", "T"))), (k % 4 + 1).cast("int"))
+    form = F.element_at(F.array(*(F.lit(x) for x in (".jpg", ".mp3", ".mp4", ".md"))), (k % 4 + 1).cast("int"))
+    body = F.concat_ws("|", kind, k.cast("string"), "p_size")
+    rows = _spread(table(spark, sf_dir, "part").select(F.concat(F.lit("raw/"), k.cast("string"), form).alias("source_key"), F.encode(body, "UTF-8").alias("content")))
+    return rows.withColumn("media_bytes_len", F.length("content").cast("long"))
+
+
 def audio_rows(spark, sf_dir):
     e = F.col("event_id")
     return table(spark, sf_dir, "events").select("event_id", "event_type", (e % 200 * 20 + 0.5 - 0.5 * (e % 2)).cast("double").alias("duration"), (4000 * (1 + e % 5)).cast("int").alias("sample_rate"))

@@ -137,7 +137,38 @@ entry AS (
 _DOT = "(SELECT embedding::DOUBLE[] FROM embeddings WHERE vec_id = 0)"
 _SCORED = f"""v AS (SELECT vec_id AS key, ['text','image','audio','video'][label % 4 + 1] AS modality, list_inner_product(embedding::DOUBLE[], {_DOT}) AS s FROM embeddings)"""
 
+_OBJECTS = """o AS (SELECT p_partkey AS n, p_size AS s, p_partkey % 4 AS k, ['text', 'image', 'audio', 'video'][CASE p_partkey % 4 WHEN 3 THEN 1 ELSE p_partkey % 4 + 2 END] AS modality,
+    'raw/' || p_partkey || ['.jpg', '.mp3', '.mp4', '.md'][p_partkey % 4 + 1] AS source_key, ['I', 'A', 'V', 'T'][p_partkey % 4 + 1] || '|' || p_partkey || '|' || p_size AS body FROM part),
+f AS (SELECT *, k IN (1, 2) AND n % 11 = 0 AS bad, n % 17 = 0 AS stuck, k = 2 AND n % 3 <> 0 AS sound FROM o),
+e AS (SELECT *, CASE WHEN bad THEN 'bad file' WHEN k IN (1, 2) AND n % 7 = 0 THEN 'No ' || modality || ' stream found in ' || source_key WHEN sound AND stuck THEN 'codec failed' END AS err FROM f),
+p AS (SELECT *, k IN (1, 2) AND NOT bad AND n % 7 <> 0 AS probed FROM e),
+d AS (SELECT *, CASE WHEN probed AND s > 5 AND (k = 1 OR (sound AND NOT stuck)) THEN 2 ELSE 0 END AS segs, CASE WHEN k = 2 AND probed THEN CASE WHEN stuck OR s < 4 THEN greatest(ceil(s / 30.0), 0) ELSE 2 END END::INTEGER AS n_scenes FROM p),
+w AS (SELECT *, CASE k WHEN 3 THEN body WHEN 0 THEN concat_ws(chr(10), CASE WHEN s % 2 = 1 THEN 'caption ' || s END, CASE WHEN n % 2 = 1 THEN 'line ' || n END)
+    ELSE CASE WHEN segs = 2 THEN 'said ' || n || ' write to a' || n || '@b.org' ELSE '' END END AS said,
+  CASE WHEN n_scenes > 0 THEN list_transform(range(n_scenes), lambda i: CASE WHEN stuck THEN 'none' ELSE 'F|' || n || '|' || s || '|' ||
+    (CASE WHEN n_scenes = 1 THEN s / 2.0 WHEN s < 4 THEN (least(30 * i + 30, s) + 30 * i) / 2.0 ELSE (2 * i + 1) * s / 4.0 END)::DOUBLE END) END AS fr FROM d),
+v AS (SELECT *, CASE WHEN err IS NOT NULL THEN 'parse_error: ' || err WHEN k = 3 THEN NULL
+    WHEN k = 0 AND n % 13 = 0 THEN 'validation_failed: Image too small: 0x0' WHEN k = 0 AND (s * 20 < 32 OR s * 10 < 32) THEN 'validation_failed: Image too small: ' || s * 20 || 'x' || s * 10
+    WHEN k = 1 AND s <= 0.5 THEN 'validation_failed: Audio too short: ' || s::DOUBLE || 's' WHEN k = 2 AND s <= 0 THEN 'validation_failed: Zero/invalid video duration (likely corrupt container)' END AS why FROM w),
+c AS (SELECT *, why IS NULL AS ok, why IS NULL AND k IN (0, 1) AND NOT stuck AS made FROM v)"""
+
+
 SQL = {
+    "media_parse": f"""WITH {_OBJECTS} SELECT source_key, modality, CASE WHEN err IS NOT NULL THEN 'failed' END AS status, 'parse_error: ' || err AS reason, said AS content_text,
+      CASE WHEN k = 0 THEN CASE WHEN n % 13 = 0 THEN 0 ELSE s * 20 END END::INTEGER AS width, CASE WHEN k = 0 THEN CASE WHEN n % 13 = 0 THEN 'UNKNOWN' ELSE 'PNG' END END AS format,
+      CASE WHEN k = 0 AND n % 13 <> 0 THEN 'm' || s END AS make, CASE WHEN probed THEN s::DOUBLE END AS duration_sec, CASE WHEN k IN (1, 2) THEN segs END::INTEGER AS n_segments, n_scenes,
+      array_to_string(fr, ';') AS frames FROM c""",
+    "media_prepare": f"""WITH {_OBJECTS} SELECT source_key, CASE WHEN NOT ok THEN 'failed' END AS status, why AS reason,
+      CASE WHEN said = '' THEN '' ELSE regexp_replace(said, '[a-z0-9]+@b[.]org', '[REDACTED_EMAIL]') END AS content_text,
+      CASE WHEN k = 3 THEN NULL WHEN NOT made THEN source_key WHEN k = 1 THEN replace(source_key, '.mp3', '_cleaned.wav')
+        ELSE replace(source_key, '.jpg', '_normalized' || CASE WHEN n % 5 = 0 THEN '_redacted' ELSE '' END || '.png') END AS media_path,
+      CASE WHEN k = 3 THEN NULL ELSE body || CASE WHEN NOT made THEN '' WHEN k = 1 THEN '|audio:wav,16000,1,silence=-40dB,loudnorm' ELSE '|image:PNG' || CASE WHEN n % 5 = 0 THEN '|blur:35:0.25,0.5,0.5,0.25' ELSE '' END END END AS content,
+      array_to_string(CASE WHEN ok AND n % 5 = 0 AND NOT stuck THEN list_transform(fr, lambda x: x || '|blur:35:0.25,0.5,0.5,0.25') ELSE fr END, ';') AS frames,
+      CASE WHEN k = 0 THEN true END AS exif_stripped FROM c""",
+    "media_manifest": f"""WITH {_OBJECTS}, m AS (SELECT *, CASE WHEN NOT ok THEN 0 WHEN k = 3 THEN 1 WHEN k = 0 THEN CASE WHEN s * 20 > 4096 THEN ceil(s * 20 / 2048.0) * ceil(s * 10 / 2048.0) ELSE 1 END
+        WHEN k = 1 THEN CASE WHEN segs = 0 THEN 0 ELSE {_spans("s", "30", "5")} END ELSE CASE WHEN segs = 0 THEN 0 ELSE n_scenes END END::INTEGER AS chunks_indexed FROM c)
+      SELECT source_key AS s3_key, CASE WHEN NOT ok THEN 'failed' WHEN chunks_indexed = 0 THEN 'failed' ELSE 'success' END AS status,
+        CASE WHEN NOT ok THEN why WHEN chunks_indexed = 0 THEN 'no_chunks_indexed' ELSE 'ok' END AS reason, chunks_indexed FROM m""",
     "route_modality": f"""WITH k AS (SELECT url AS source_key FROM pages UNION ALL SELECT 'raw/text/' || source || '/' || doc_id || '.TXT' FROM documents
       UNION ALL SELECT 'raw/audio/' || conv_id || '.' || turn || '.wav' FROM conversations UNION ALL SELECT 'raw/video.d/' || user_id || '/.' || event_id || '.mp4' FROM events),
       x AS (SELECT source_key, {_EXT.format(k="source_key")} AS extension FROM k) SELECT *, {_MODALITY.format(e="extension")} AS modality FROM x""",

@@ -19,6 +19,8 @@ DOCS = {
     "image": IMAGE,
     "audio": AUDIO,
     "video": VIDEO,
+    "content": "binary",
+    "frames": "array<binary>",
     "status": "string",
     "reason": "string",
 }

@@ -14,10 +14,12 @@ _written: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder that ``spark.checkpoint.dir`` names. Only where the setting is absent (local
-    tests) is a temporary folder made and used."""
+    """The shared folder that ``spark.checkpoint.dir`` names. Where the setting is absent, a local session
+    makes and uses a temporary folder; on a cluster executors couldn't share that, so it raises."""
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         top = getattr(spark, "_tarnbeck_dir", None)
         if top is None:
             top = spark._tarnbeck_dir = "file://" + tempfile.mkdtemp(prefix="tarnbeck-")

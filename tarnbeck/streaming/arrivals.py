@@ -41,19 +41,26 @@ def arrivals_by_window(events: DataFrame, window: str = "1 day", late: str = "1
     return own.groupBy(F.window(at, window).alias("w"), by).agg(F.count("*").alias("arrivals")).select(F.col("w.start").alias("start"), by, "arrivals")
 
 
-def near_duplicate_batches(path: str, distance: int, out: Callable[[DataFrame, int], None], key: str = "source_key", hash_col: str = "phash"):
+def near_duplicate_batches(
+    path: str, distance: int, out: Callable[[DataFrame, int], None], key: str = "source_key", hash_col: str = "phash", at: str | None = None, ttl: str = "90 days"
+):
     """For foreachBatch: mark near-duplicates within the batch and against the hashes kept so far, a
     Parquet table at path with one folder a batch. A batch that is run again overwrites its folder and
-    reads only earlier ones, so results don't change."""
+    reads only earlier ones, so results don't change. With at, the column of event time, a kept hash is
+    forgotten ttl before the batch's earliest event."""
 
     def run(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         first = "batch=-1"
         root = path.rstrip("/")
-        spark.createDataFrame([], f"{hash_col} long").write.mode("overwrite").parquet(f"{root}/{first}")
-        old = spark.read.option("basePath", root).parquet(root).where(F.col("batch") < number).select(F.col(hash_col).alias("hash"))
-        marked = mark_duplicates(batch, key, hash_col, distance, seen=old)
-        marked.where("not is_duplicate").select(hash_col).write.mode("overwrite").parquet(f"{root}/batch={number}")
+        spark.createDataFrame([], f"{hash_col} long, kept_at timestamp").write.mode("overwrite").parquet(f"{root}/{first}")
+        old = spark.read.option("basePath", root).parquet(root).where(F.col("batch") < number)
+        if at is not None:
+            since = batch.agg(F.min(F.col(at).cast("timestamp")).alias("t")).select(F.expr(f"t - INTERVAL {ttl}")).first()[0]
+            old = old.where(F.col("kept_at").isNull() | (F.col("kept_at") >= F.lit(since)))
+        marked = mark_duplicates(batch, key, hash_col, distance, seen=old.select(F.col(hash_col).alias("hash")))
+        when = (F.col(at).cast("timestamp") if at else F.lit(None).cast("timestamp")).alias("kept_at")
+        marked.where("not is_duplicate").select(hash_col, when).write.mode("overwrite").parquet(f"{root}/batch={number}")
         out(marked, number)
 
     return run
