@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 import zipfile
@@ -56,6 +57,18 @@ def discard(df: DataFrame) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+@contextlib.contextmanager
+def shuffles_freed(spark: SparkSession):
+    """Meanwhile each action deletes its shuffle files as it ends, instead of when the driver collects its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def install(spark: SparkSession) -> None:
     """Ship this package to the executors' Python, once a session, for clusters where it isn't
     installed and for drivers that found it by sys.path alone."""
