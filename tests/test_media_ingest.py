@@ -104,3 +104,15 @@ def test_command_line(spark, tmp_path):
     assert main(args[:2] + ["--out", f"file://{tmp_path}/out2"], spark) == 1
     with pytest.raises(SystemExit):
         main(["--out", "x"], spark)
+
+
+def test_few_python_processes_stand_in_a_task(spark, sf_dir):
+    """Each step of tools in a plan is a Python process for each core of an executor."""
+    from tarnbeck.plans import catalog
+
+    def steps(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")
+
+    docs = catalog._media(spark, sf_dir)
+    assert steps(docs) <= 6  # image 1, audio 2, video 3; 10 before
+    assert steps(media.refined(docs, catalog.M, stubs.TOOLS)) <= 8  # two more; six before
